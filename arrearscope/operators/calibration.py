@@ -99,7 +99,7 @@ def fit_calibrator(df: DataFrame, method: str, score: str = "p", label: str = "y
 
 def brier_by_method(df: DataFrame, columns: dict[str, str], label: str = "y") -> DataFrame:
     """(method, brier_score) of several probability columns in one aggregate."""
-    wide = df.agg(*[F.avg(squared_error(c, label)).alias(m) for m, c in columns.items()])
+    wide = df.agg(*[F.expr(f"avg({squared_error(c, label)}) AS {name(m)}") for m, c in columns.items()])
     return wide.unpivot([], list(columns), "method", "brier_score")
 
 
@@ -112,10 +112,11 @@ def pick_method(briers: DataFrame) -> DataFrame:
 
 
 def calibration_gain(df: DataFrame, raw: str, calibrated: str, label: str = "y") -> DataFrame:
-    before, after = F.avg(squared_error(raw, label)), F.avg(squared_error(calibrated, label))
-    return df.agg(
-        before.alias("brier_raw"), after.alias("brier_calibrated"), (before - after).alias("improvement")
+    briers = df.selectExpr(
+        f"avg({squared_error(raw, label)}) AS brier_raw",
+        f"avg({squared_error(calibrated, label)}) AS brier_calibrated",
     )
+    return briers.selectExpr("*", "brier_raw - brier_calibrated AS improvement")
 
 
 def reliability(

@@ -12,6 +12,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from arrearscope.functions.scalars import name
+
 #: Distinct scores one task may sort; below this a single range is enough.
 ROWS_PER_RANGE = 500_000
 #: Upper bound of ranges, and so of the offset table.
@@ -37,9 +39,14 @@ def score_ranges(df: DataFrame, score: str, rows_per_range: int = ROWS_PER_RANGE
 
 
 def score_counts(df: DataFrame, score: str, label: str, by: tuple[str, ...] = ()) -> DataFrame:
-    """(by..., p, pos, neg): label counts per distinct score."""
-    return df.groupBy(*by, F.col(score).cast("double").alias("p")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
+    """(by..., p, pos, neg): label counts per distinct score.
+
+    Rows without a score or label take no part, as in every other metric.
+    """
+    return (
+        df.filter(f"{name(score)} IS NOT NULL AND {name(label)} IS NOT NULL")
+        .groupBy(*by, F.col(score).cast("double").alias("p"))
+        .agg(F.expr(f"count_if({name(label)} = 1) AS pos"), F.expr(f"count_if({name(label)} = 0) AS neg"))
     )
 
 

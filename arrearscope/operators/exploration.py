@@ -63,7 +63,8 @@ def histograms(df: DataFrame, columns: tuple[str, ...] = DESCRIBED, bins: int =
     for c, (low, high) in bounds.items():
         value = clip(f"cast({name(c)} AS double)", number(low), number(high))
         width = number((high - low) / bins if high > low else 1.0)
-        slot = f"cast(least(floor(({value} - {number(low)}) / {width}), {bins - 1}) AS int)"
+        # least() would turn a missing value into the last bin
+        slot = f"if({name(c)} IS NULL, NULL, cast(least(floor(({value} - {number(low)}) / {width}), {bins - 1}) AS int))"
         cells.append(f"named_struct('column_name', {text(c)}, 'bin', {slot})")
     return (
         df.selectExpr(f"inline(array({', '.join(cells)}))")

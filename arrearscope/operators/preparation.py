@@ -104,6 +104,19 @@ def clipped(df: DataFrame, bounds: dict[str, list[float]]) -> DataFrame:
     )
 
 
+def impute_and_clip(
+    df: DataFrame, fill: dict[str, float], bounds: dict[str, tuple[float, float]], keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Both steps in one projection, other columns kept by name."""
+
+    def cell(c: str) -> str:
+        value = f"coalesce(cast({name(c)} AS double), {number(fill[c])})"
+        low, high = bounds[c]
+        return f"least(greatest({value}, {number(low)}), {number(high)}) AS {name(c)}"
+
+    return df.selectExpr(*map(name, keep), *map(cell, fill))
+
+
 def means_and_stds(df: DataFrame, columns) -> DataFrame:
     """Mean and population standard deviation of every column in one row."""
     return df.selectExpr(

@@ -33,7 +33,8 @@ def sweep(df: DataFrame, score: str = "p", label: str = "y", policy: Policy = PO
     every threshold is reported.
     """
     grid = policy.grid
-    cells = df.groupBy(F.expr(grid_position(name(score), policy)).alias("cell")).agg(
+    usable = df.filter(f"{name(score)} IS NOT NULL")
+    cells = usable.groupBy(F.expr(grid_position(name(score), policy)).alias("cell")).agg(
         F.expr(f"count_if({name(label)} = 1) AS pos"), F.expr(f"count_if({name(label)} = 0) AS neg")
     )
     every = df.sparkSession.range(len(grid) + 1).selectExpr("cast(id AS int) AS cell", "0L AS pos", "0L AS neg")
