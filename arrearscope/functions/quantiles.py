@@ -185,11 +185,11 @@ def exact_quantiles(
     if not isinstance(columns, dict):
         columns = {c: name(c) for c in columns}
     columns = {c: f"cast({sql} AS double)" for c, sql in columns.items()}
-    extent = extent_of(df, columns)
-    if max((r.rows for r in extent.values()), default=0) <= small_rows:
+    if df.count() <= small_rows:
         levels = ", ".join(number(float(q)) for q in quantiles)
         row = df.selectExpr(*[f"percentile({sql}, array({levels})) AS q{i}" for i, sql in enumerate(columns.values())]).first()
         return {c: row[i] or [None] * len(quantiles) for i, c in enumerate(columns)}
+    extent = extent_of(df, columns)
     ranks = {c: [k for q in quantiles for k in _positions(r.rows, q)[:2]] for c, r in extent.items()}
     stats = order_statistics(df, columns, ranks, extent)
     result: dict[str, list[float | None]] = {}

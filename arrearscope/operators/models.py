@@ -79,19 +79,18 @@ def class_weights(df: DataFrame, target: str = ROLES.target) -> DataFrame:
 
 
 def training_frame(
-    prep: Preprocessor, df: DataFrame, keep: tuple[str, ...] = (), target: str = ROLES.target
+    prep: Preprocessor, df: DataFrame, weights: dict[int, float], keep: tuple[str, ...] = (), target: str = ROLES.target
 ) -> DataFrame:
     """Assembled ``features`` with label and both weight columns."""
-    weights = {r[target]: r["weight"] for r in class_weights(df, target).collect()}
-    balanced = F.when(F.col(target) == 1, weights.get(1, 1.0)).otherwise(weights.get(0, 1.0))
     columns = prep.transform(df, keep=(target, *keep))
     assembled = VectorAssembler(inputCols=prep.names, outputCol="features").transform(columns)
-    return assembled.select(
-        *keep,
+    balanced = f"if({name(target)} = 1, {number(weights.get(1, 1.0))}, {number(weights.get(0, 1.0))})"
+    return assembled.selectExpr(
+        *map(name, keep),
         "features",
-        F.col(target).cast("double").alias(LABEL),
-        F.lit(1.0).alias(PLAIN),
-        balanced.alias(BALANCED),
+        f"cast({name(target)} AS double) AS {LABEL}",
+        f"1D AS {PLAIN}",
+        f"{balanced} AS {BALANCED}",
     )
 
 
@@ -149,7 +148,7 @@ def estimator(family: str, params: dict[str, Any], rows: int, seed: int = SEED):
     if family == "LogisticRegression":
         return LogisticRegression(
             **common, regParam=1.0 / (params.get("C", 1.0) * rows), elasticNetParam=0.0,
-            standardization=False, maxIter=params.get("max_iter", MAX_ITER), tol=1e-8,
+            standardization=False, maxIter=params.get("max_iter", MAX_ITER), tol=params.get("tol", 1e-6),
         )
     if family == "DecisionTree":
         return DecisionTreeClassifier(**common, maxDepth=params.get("max_depth") or DEEPEST, seed=seed)
@@ -222,33 +221,31 @@ class Tuned:
 
 def tune(
     family: str,
-    prep: Preprocessor,
-    train: DataFrame,
+    frame: DataFrame,
     iterations: int | None = None,
     folds: int | None = None,
     overrides: dict[str, Any] | None = None,
     seed: int = SEED,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> Tuned:
-    """Random search by cross-validated average precision, refitted on all rows."""
+    """Random search by cross-validated average precision, refitted on all rows.
+
+    ``frame`` holds the training rows of :func:`training_frame` with their ids.
+    """
     folds = folds or FOLDS[family]
     draws = sample_parameters(family, iterations or SEARCH_ITERATIONS[family], seed)
     draws = [{**d, **(overrides or {})} for d in draws]
-    frame = training_frame(prep, with_fold(train, folds, seed), keep=("fold",)).persist()
-    try:
-        rows = frame.count()
-        base = estimator(family, draws[0], rows, seed)
-        maps = [
-            {p: v for p, v in estimator(family, d, rows, seed).extractParamMap().items()}
-            for d in draws
-        ]
-        maps = [{base.getParam(p.name): v for p, v in m.items()} for m in maps]
-        search = CrossValidator(
-            estimator=base, estimatorParamMaps=maps, evaluator=AveragePrecisionEvaluator(),
-            numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed,
-        ).fit(frame)
-    finally:
-        frame.unpersist()
+    folded = with_fold(frame, folds, seed, target=LABEL)
+    rows = frame.count()
+    base = estimator(family, draws[0], rows, seed)
+    maps = [
+        {base.getParam(p.name): v for p, v in estimator(family, d, rows, seed).extractParamMap().items()}
+        for d in draws
+    ]
+    search = CrossValidator(
+        estimator=base, estimatorParamMaps=maps, evaluator=AveragePrecisionEvaluator(),
+        numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed,
+    ).fit(folded)
     scores = list(search.avgMetrics)
     best = max(range(len(scores)), key=lambda i: scores[i])
     return Tuned(family, draws[best], search.bestModel, scores[best], list(zip(draws, scores)))

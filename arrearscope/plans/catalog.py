@@ -474,7 +474,7 @@ def m05(spark, sf):
 @query("m06_search_trials")
 def m06(spark, sf):
     ready = prepared(spark, sf)
-    found = models.tune("LogisticRegression", ready.prep, ready.part("train"), iterations=3, folds=3)
+    found = models.tune("LogisticRegression", ready.frame_part("train"), iterations=3, folds=3)
     rows = [
         (i, p["C"], p["class_weight"] or "none", float(s), p == found.params)
         for i, (p, s) in enumerate(found.trials)
@@ -818,9 +818,9 @@ def x04(spark, sf):
 @query("x06_feature_labels")
 def x06(spark, sf):
     ready = prepared(spark, sf)
-    means = ready.prep.transform(ready.table).agg(*[F.avg(c).alias(c) for c in ready.prep.names])
-    long = means.unpivot([], ready.prep.names, "feature", "mean_value")
-    return rounded(long.selectExpr("feature", f"{label_sql('feature')} AS label", "mean_value"), "mean_value", places=4)
+    long = ready.prep.transform(ready.table).unpivot([], ready.prep.names, "feature", "value")
+    means = long.groupBy("feature").agg(F.avg("value").alias("mean_value"))
+    return rounded(means.selectExpr("feature", f"{label_sql('feature')} AS label", "mean_value"), "mean_value", places=4)
 
 
 @query("x07_top_importances")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
+from functools import cached_property
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -16,6 +17,7 @@ from arrearscope.operators.metrics import comparison, metric_rows, metrics
 from arrearscope.operators.models import (
     COMPLEXITY,
     Tuned,
+    class_weights,
     estimator,
     fit_dummy,
     positive_probability,
@@ -38,7 +40,7 @@ BASELINES = ("LogisticRegression", "DecisionTree", "RandomForest", "BoostedTrees
 TUNED_FAMILIES = ("LogisticRegression", "RandomForest", "BoostedTrees")
 
 
-@dataclass(frozen=True)
+@dataclass
 class Prepared:
     """The cleaned table with a ``split`` column, and what was fitted on train.
 
@@ -52,6 +54,24 @@ class Prepared:
     def part(self, split: str) -> DataFrame:
         return self.table.filter(F.col("split") == split)
 
+    @cached_property
+    def weights(self) -> dict[int, float]:
+        """Balanced class weights of the training split."""
+        return {r[ROLES.target]: r["weight"] for r in class_weights(self.part("train")).collect()}
+
+    @cached_property
+    def frame(self) -> DataFrame:
+        """Feature vectors of every split, assembled and written once.
+
+        Iterative fits then re-read plain files: their tasks carry no feature
+        expressions, and a lost executor costs a re-read and not a recomputation.
+        """
+        keep = (ROLES.id, "split")
+        return written(training_frame(self.prep, self.table, self.weights, keep), "frame", ("split",))
+
+    def frame_part(self, split: str) -> DataFrame:
+        return self.frame.filter(F.col("split") == split)
+
 
 def prepare(clients: DataFrame, seed: int = SEED) -> Prepared:
     source = written(clean(clients), "clients")
@@ -70,23 +90,16 @@ class Budget:
     families: tuple[str, ...] = TUNED_FAMILIES
 
 
-def _label_and_score(frame: DataFrame, score: str) -> DataFrame:
-    return frame.select(F.col("label").cast("int").alias("y"), F.col(score).alias("p"))
-
-
 def validation_scores(prepared: Prepared, model: Any, split: str = "validation") -> DataFrame:
     """(y, p) of a Spark ML classifier on a split."""
-    frame = training_frame(prepared.prep, prepared.part(split))
-    return _label_and_score(positive_probability(model, frame, "p"), "p")
+    scored = positive_probability(model, prepared.frame_part(split), "p")
+    return scored.select(F.col("label").cast("int").alias("y"), "p")
 
 
 def fit_baseline(prepared: Prepared, family: str, params: dict[str, Any] | None = None, seed: int = SEED):
-    """An untuned classifier of a family, fitted on the training split."""
-    frame = training_frame(prepared.prep, prepared.part("train")).persist()
-    try:
-        return estimator(family, params or {}, frame.count(), seed).fit(frame)
-    finally:
-        frame.unpersist()
+    """A classifier of a family with given parameters, fitted on the training split."""
+    frame = prepared.frame_part("train")
+    return estimator(family, params or {}, frame.count(), seed).fit(frame)
 
 
 def dummy_scores(prepared: Prepared, split: str = "validation", seed: int = SEED) -> DataFrame:
@@ -154,7 +167,7 @@ def train(clients: DataFrame, budget: Budget = Budget(), seed: int = SEED) -> Tr
     tuned: dict[str, Tuned] = {}
     for family in budget.families:
         tuned[family] = tune(
-            family, prepared.prep, prepared.part("train"), budget.iterations.get(family),
+            family, prepared.frame_part("train"), budget.iterations.get(family),
             budget.folds.get(family), budget.overrides.get(family), seed,
         )
         scored.append((f"tuned_{family}", metrics(validation_scores(prepared, tuned[family].model))))
