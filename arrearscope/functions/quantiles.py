@@ -21,9 +21,9 @@ from arrearscope.functions.scalars import name, number
 #: Bins per open range and pass.
 BINS = 1024
 #: Row count up to which the built-in ``percentile`` is cheap enough.
-SMALL_ROWS = 200_000
-#: A range with at most this many rows is finished by listing its values.
-LISTED_ROWS = 2_048
+SMALL_ROWS = 20_000
+#: Ranges with at most this many rows together are finished by listing values.
+LISTED_ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -116,7 +116,7 @@ def _count_bins(df, columns, open_ranges) -> dict[str, list[Range]]:
 
 
 def _list_values(df, columns, open_ranges) -> dict[str, list[Range]]:
-    """Every (value, rows) of ranges known to hold at most LISTED_ROWS rows."""
+    """Every (value, rows) of ranges that together hold at most LISTED_ROWS rows."""
     names = list(columns)
     counted = (
         _long(df, columns, open_ranges, _range_cells)
@@ -160,17 +160,37 @@ def order_statistics(
         open_ranges = {c: rs for c, rs in open_ranges.items() if rs}
         if not open_ranges:
             return done
-        if all(r.rows <= LISTED_ROWS for rs in open_ranges.values() for r in rs):
+        if sum(r.rows for rs in open_ranges.values() for r in rs) <= LISTED_ROWS:
             ranges = _list_values(df, columns, open_ranges)
         else:
             ranges = _count_bins(df, columns, open_ranges)
 
 
-def _positions(n: int, q: float) -> tuple[int, int, float]:
+def positions(n: int, q: float) -> tuple[int, int, float]:
+    """Ranks on both sides of a quantile of n values, and its exact position."""
     position = (n - 1) * q
     return math.floor(position), math.ceil(position), position
 
 
+def interpolated(a: float, b: float, low: int, high: int, position: float) -> float:
+    return a if a == b else (high - position) * a + (position - low) * b
+
+
+def as_doubles(columns) -> dict[str, str]:
+    """Column names, or names mapped to SQL, as SQL over doubles."""
+    if not isinstance(columns, dict):
+        columns = {c: name(c) for c in columns}
+    return {c: f"cast({sql} AS double)" for c, sql in columns.items()}
+
+
+def builtin_quantiles(df: DataFrame, columns, quantiles: list[float]) -> dict[str, list[float | None]]:
+    """The same by the built-in aggregate, for tables of a checked small size."""
+    levels = ", ".join(number(float(q)) for q in quantiles)
+    exprs = [f"percentile({sql}, array({levels})) AS q{i}" for i, sql in enumerate(as_doubles(columns).values())]
+    row = df.selectExpr(*exprs).first()
+    return {c: list(v) if v else [None] * len(quantiles) for c, v in zip(columns, row)}
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: dict[str, str] | list[str] | tuple[str, ...],
@@ -182,24 +202,17 @@ def exact_quantiles(
     ``columns`` names columns, or maps names to SQL expressions. Equal to
     ``percentile``; an empty column gives None.
     """
-    if not isinstance(columns, dict):
-        columns = {c: name(c) for c in columns}
-    columns = {c: f"cast({sql} AS double)" for c, sql in columns.items()}
     if df.count() <= small_rows:
-        levels = ", ".join(number(float(q)) for q in quantiles)
-        row = df.selectExpr(*[f"percentile({sql}, array({levels})) AS q{i}" for i, sql in enumerate(columns.values())]).first()
-        return {c: row[i] or [None] * len(quantiles) for i, c in enumerate(columns)}
-    extent = extent_of(df, columns)
-    ranks = {c: [k for q in quantiles for k in _positions(r.rows, q)[:2]] for c, r in extent.items()}
-    stats = order_statistics(df, columns, ranks, extent)
-    result: dict[str, list[float | None]] = {}
-    for c, r in extent.items():
-        result[c] = []
-        for q in quantiles:
-            if not r.rows:
-                result[c].append(None)
-                continue
-            low, high, position = _positions(r.rows, q)
-            a, b = stats[c][low].value, stats[c][high].value
-            result[c].append(a if a == b else (high - position) * a + (position - low) * b)
-    return result
+        return builtin_quantiles(df, columns, quantiles)
+    sql = as_doubles(columns)
+    extent = extent_of(df, sql)
+    ranks = {c: [k for q in quantiles for k in positions(r.rows, q)[:2]] for c, r in extent.items()}
+    stats = order_statistics(df, sql, ranks, extent)
+
+    def value(c: str, q: float) -> float | None:
+        if not extent[c].rows:
+            return None
+        low, high, position = positions(extent[c].rows, q)
+        return interpolated(stats[c][low].value, stats[c][high].value, low, high, position)
+
+    return {c: [value(c, q) for q in quantiles] for c in columns}

@@ -9,35 +9,18 @@ totals of the ranges above it; no task ever sorts the whole table.
 from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrearscope.functions.scalars import name
+from arrearscope.functions.scalars import name, number
+from arrearscope.session import written
 
 #: Distinct scores one task may sort; below this a single range is enough.
-ROWS_PER_RANGE = 500_000
+SCORES_PER_RANGE = 500_000
 #: Upper bound of ranges, and so of the offset table.
 MAX_RANGES = 4_096
 
 
-def score_ranges(df: DataFrame, score: str, rows_per_range: int = ROWS_PER_RANGE) -> list[float]:
-    """Inner range edges, about equally many rows apart; [] for one range.
-
-    A range between two edges holds at most its share of rows, hence of distinct
-    scores. The edges only balance the work: any edges give the same result.
-    """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(2, min(MAX_RANGES, 2 * parts))
-    levels = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    row = df.agg(
-        F.count(score).alias("n"),
-        F.percentile_approx(score, levels, 10 * parts).alias("edges"),
-    ).first()
-    if row["n"] <= rows_per_range:
-        return []
-    return sorted({float(e) for e in row["edges"]})
-
-
 def score_counts(df: DataFrame, score: str, label: str, by: tuple[str, ...] = ()) -> DataFrame:
     """(by..., p, pos, neg): label counts per distinct score."""
     return df.groupBy(*by, F.col(score).cast("double").alias("p")).agg(
@@ -45,50 +28,65 @@ def score_counts(df: DataFrame, score: str, label: str, by: tuple[str, ...] = ()
     )
 
 
+def range_edges(counts: DataFrame, scores_per_range: int = SCORES_PER_RANGE) -> list[float]:
+    """Inner edges of score ranges with about equally many scores; [] for one range.
+
+    The edges only balance the work: any edges give the same result.
+    """
+    if counts.count() <= scores_per_range:
+        return []
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(2, min(MAX_RANGES, 2 * parts))
+    levels = ", ".join(number(i / parts) for i in range(1, parts))
+    row = counts.selectExpr(f"percentile_approx(p, array({levels}), {10 * parts}) AS edges").first()
+    return sorted({float(e) for e in row["edges"]})
+
+
 def _with_range(counts: DataFrame, edges: list[float]) -> DataFrame:
     splits = [-float("inf"), *edges, float("inf")]
     cut = Bucketizer(splits=splits, inputCol="p", outputCol="_range", handleInvalid="error")
     return cut.transform(counts).withColumn("_range", F.col("_range").cast("int"))
 
 
+def _above(*keys: str) -> list[str]:
+    over = f"({f'PARTITION BY {cols(keys)} ' if keys else ''}ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return [f"coalesce(sum({s}) OVER {over}, 0L) AS {s}_above" for s in ("pos", "neg")]
+
+
+def cols(names) -> str:
+    return ", ".join(map(name, names))
+
+
 def ranked_counts(
     df: DataFrame,
     score: str = "p",
     label: str = "y",
     by: tuple[str, ...] = (),
-    rows_per_range: int = ROWS_PER_RANGE,
+    scores_per_range: int = SCORES_PER_RANGE,
 ) -> DataFrame:
     """One row per distinct score with label counts at and strictly above it.
 
-    Columns: by..., p, pos, neg, pos_above, neg_above.
+    Columns: by..., p, pos, neg, pos_above, neg_above. The distinct scores are
+    written once, so the scoring behind ``df`` runs a single time although the
+    range edges, the range totals and the prefix sums all read them.
     """
-    counts = score_counts(df, score, label, by)
-    edges = score_ranges(df, score, rows_per_range)
+    counts = written(score_counts(df, score, label, by), "scores")
+    edges = range_edges(counts, scores_per_range)
     if not edges:
-        falling = Window.partitionBy(*by).orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, -1)
-        return counts.withColumns(
-            {f"{s}_above": F.coalesce(F.sum(s).over(falling), F.lit(0)) for s in ("pos", "neg")}
-        )
+        return counts.selectExpr("*", *_above(*by))
     ranged = _with_range(counts, edges)
     # at most MAX_RANGES rows per group
     totals = ranged.groupBy(*by, "_range").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    higher = Window.partitionBy(*by).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *by, "_range", *[F.coalesce(F.sum(s).over(higher), F.lit(0)).alias(f"{s}_offset") for s in ("pos", "neg")]
-    )
-    falling = (
-        Window.partitionBy(*by, "_range").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, -1)
+    part = f"PARTITION BY {cols(by)} " if by else ""
+    higher = f"({part}ORDER BY _range DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    offsets = totals.selectExpr(
+        *map(name, by), "_range", *[f"coalesce(sum({s}) OVER {higher}, 0L) AS {s}_offset" for s in ("pos", "neg")]
     )
     # the join shares its partitioning by range with the window that follows
-    return (
-        ranged.join(offsets, [*by, "_range"])
-        .withColumns(
-            {
-                f"{s}_above": F.col(f"{s}_offset") + F.coalesce(F.sum(s).over(falling), F.lit(0))
-                for s in ("pos", "neg")
-            }
-        )
-        .select(*by, "p", "pos", "neg", "pos_above", "neg_above")
+    placed = ranged.join(offsets, [*by, "_range"]).selectExpr("*", *_above(*by, "_range"))
+    return placed.selectExpr(
+        *map(name, by), "p", "pos", "neg",
+        "pos_offset + pos_above AS pos_above", "neg_offset + neg_above AS neg_above",
     )
 
 
@@ -114,43 +112,33 @@ def areas(df: DataFrame, score: str = "p", label: str = "y", by: tuple[str, ...]
     )
 
 
-def _totals(df: DataFrame, label: str) -> tuple[Column, Column]:
-    """Numbers of positives and negatives as scalar subqueries."""
-    return tuple(
-        df.agg(F.count_if(F.col(label) == v)).scalar().cast("double") for v in (1, 0)
-    )
+def _with_totals(ranked: DataFrame) -> DataFrame:
+    """Append the numbers of positives and negatives as scalar subqueries."""
+    totals = {f"{s}_all": ranked.agg(F.sum(s)).scalar().cast("double") for s in ("pos", "neg")}
+    return ranked.withColumns(totals)
 
 
 def roc_points(df: DataFrame, score: str = "p", label: str = "y", **kw) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score, plus the origin (threshold null)."""
-    pos, neg = _totals(df, label)
-    points = ranked_counts(df, score, label, **kw).select(
-        F.col("p").alias("threshold"),
-        F.try_divide((F.col("neg_above") + F.col("neg")).cast("double"), neg).alias("fpr"),
-        F.try_divide((F.col("pos_above") + F.col("pos")).cast("double"), pos).alias("tpr"),
-    )
-    origin = df.sparkSession.range(1).select(
-        F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
+    points = _with_totals(ranked_counts(df, score, label, **kw)).selectExpr(
+        "p AS threshold",
+        "try_divide(cast(neg_above + neg AS double), neg_all) AS fpr",
+        "try_divide(cast(pos_above + pos AS double), pos_all) AS tpr",
     )
+    origin = df.sparkSession.range(1).selectExpr("cast(NULL AS double) AS threshold", "0D AS fpr", "0D AS tpr")
     return points.unionByName(origin)
 
 
 def pr_points(df: DataFrame, score: str = "p", label: str = "y", **kw) -> DataFrame:
     """(threshold, precision, recall, prevalence) per distinct score and the end point."""
-    pos, neg = _totals(df, label)
-    prevalence = pos / (pos + neg)
-    hits = F.col("pos_above") + F.col("pos")
-    flagged = hits + F.col("neg_above") + F.col("neg")
-    points = ranked_counts(df, score, label, **kw).select(
-        F.col("p").alias("threshold"),
-        (hits.cast("double") / flagged).alias("precision"),
-        F.try_divide(hits.cast("double"), pos).alias("recall"),
-        prevalence.alias("prevalence"),
-    )
-    end = df.sparkSession.range(1).select(
-        F.lit(None).cast("double").alias("threshold"),
-        F.lit(1.0).alias("precision"),
-        F.lit(0.0).alias("recall"),
-        prevalence.alias("prevalence"),
+    ranked = _with_totals(ranked_counts(df, score, label, **kw))
+    prevalence = "pos_all / (pos_all + neg_all) AS prevalence"
+    points = ranked.selectExpr(
+        "p AS threshold",
+        "cast(pos_above + pos AS double) / (pos_above + pos + neg_above + neg) AS precision",
+        "try_divide(cast(pos_above + pos AS double), pos_all) AS recall",
+        prevalence,
     )
+    totals = ranked.agg(F.max("pos_all").alias("pos_all"), F.max("neg_all").alias("neg_all"))
+    end = totals.selectExpr("cast(NULL AS double) AS threshold", "1D AS precision", "0D AS recall", prevalence)
     return points.unionByName(end)

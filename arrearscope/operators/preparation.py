@@ -14,7 +14,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrearscope.functions.engineered import ENGINEERED, engineer
-from arrearscope.functions.quantiles import SMALL_ROWS, exact_quantiles
+from arrearscope.functions.quantiles import (
+    SMALL_ROWS,
+    as_doubles,
+    builtin_quantiles,
+    exact_quantiles,
+    extent_of,
+    interpolated,
+    order_statistics,
+    positions,
+)
 from arrearscope.functions.scalars import clip, name, number
 from arrearscope.operators.validation import require_columns
 from arrearscope.roles import CATEGORICAL, FEATURES, NUMERIC
@@ -139,29 +148,76 @@ def most_frequent(df: DataFrame, column: str) -> DataFrame:
     return level_counts(df, column).agg(best.alias("most_frequent"))
 
 
+def _medians_and_bounds(full: DataFrame, columns) -> tuple[dict, dict]:
+    """Medians and the winsor bounds of the imputed values in one sequence.
+
+    Imputing inserts copies of the median right after the lower middle rank, so
+    every rank of the imputed column is either an original rank or the median:
+    all of them are looked up together, and the data is scanned half as often.
+    """
+    sql = as_doubles(columns)
+    total = full.count()
+    extent = extent_of(full, sql)
+    ranks: dict[str, list[int]] = {}
+    for c, r in extent.items():
+        middle = positions(r.rows, 0.5)
+        edges = [k for q in WINSOR for k in positions(total, q)[:2]]
+        ranks[c] = [*middle[:2], *[_original_rank(k, middle[0], total - r.rows) for k in edges]]
+        ranks[c] = [k for k in ranks[c] if k is not None]
+    stats = order_statistics(full, sql, ranks, extent)
+    fill: dict[str, float | None] = {}
+    bounds: dict[str, list[float | None]] = {}
+    for c, r in extent.items():
+        if not r.rows:
+            fill[c], bounds[c] = None, [None] * len(WINSOR)
+            continue
+        low, high, position = positions(r.rows, 0.5)
+        fill[c] = interpolated(stats[c][low].value, stats[c][high].value, low, high, position)
+
+        def at(k: int) -> float:
+            original = _original_rank(k, low, total - r.rows)
+            return fill[c] if original is None else stats[c][original].value
+
+        bounds[c] = []
+        for q in WINSOR:
+            below, above, place = positions(total, q)
+            bounds[c].append(interpolated(at(below), at(above), below, above, place))
+    return fill, bounds
+
+
+def _original_rank(k: int, lower_middle: int, inserted: int) -> int | None:
+    """Rank before imputation; None for an inserted median."""
+    if k <= lower_middle:
+        return k
+    return None if k <= lower_middle + inserted else k - inserted
+
+
 def fit(train: DataFrame, small_rows: int = SMALL_ROWS) -> Preprocessor:
-    """Fit on the given rows: medians, then bounds, then moments.
+    """Fit on the given rows: medians and bounds, then moments.
 
-    The three passes depend on each other. Each is one scan of the training
-    rows that returns a few numbers per column.
+    Every step is a scan of the training rows that returns a few numbers per
+    column. A table of a checked small size takes the built-in percentile.
     """
     full = engineer(train)
-    fill = medians(full, (*SCALED, *CATEGORICAL), small_rows)
-    reference = {c: fill[c] for c in FEATURES}
-    for c in CATEGORICAL:
-        fill.pop(c)
-    empty = sorted(c for c, m in fill.items() if m is None)
+    columns = (*SCALED, *CATEGORICAL)
+    if train.count() <= small_rows:
+        fill = {c: q[0] for c, q in builtin_quantiles(full, columns, [0.5]).items()}
+        known = {c: fill[c] for c in SCALED if fill[c] is not None}
+        bounds = builtin_quantiles(imputed(full, known), list(known), list(WINSOR))
+    else:
+        fill, bounds = _medians_and_bounds(full, columns)
+    empty = sorted(c for c in SCALED if fill[c] is None)
     if empty:
         raise ValueError(f"no training value in columns {empty}")
-    bounds = winsor_bounds(imputed(full, fill), SCALED, small_rows)
-    moments = means_and_stds(clipped(imputed(full, fill), bounds), SCALED).first()
+    scaled_fill = {c: fill[c] for c in SCALED}
+    ready = impute_and_clip(full, scaled_fill, {c: bounds[c] for c in SCALED})
+    moments = means_and_stds(ready, SCALED).first()
     numeric = {
-        c: Scaling(fill[c], *bounds[c], moments[f"{c}_mean"], moments[f"{c}_std"] or 1.0)
-        for c in SCALED
+        c: Scaling(fill[c], *bounds[c], moments[f"{c}_mean"], moments[f"{c}_std"] or 1.0) for c in SCALED
     }
     levels, modes = {}, {}
     for c in CATEGORICAL:  # a handful of codes each
         counts = {r["level"]: r["n"] for r in level_counts(train, c).collect()}
         levels[c] = sorted(counts)
         modes[c] = max(counts, key=lambda v: (counts[v], -v))
-    return Preprocessor(numeric, levels, modes, reference)
+    return Preprocessor(numeric, levels, modes, {c: fill[c] for c in FEATURES})

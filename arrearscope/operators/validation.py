@@ -109,13 +109,10 @@ def default_rate(df: DataFrame, target: str = ROLES.target) -> DataFrame:
 def quality_report(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
     """All checks as one row; nested maps for missing and unexpected codes.
 
-    One scan feeds the plain counts; duplicates and codes come in as scalar
-    subqueries, so no join is involved.
+    One scan feeds all plain and missing-value counts; duplicates and codes come
+    in as scalar subqueries that read only the columns they need.
     """
     require_columns(df, roles.ordered)
-    missing = missing_by_column(df).agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("column_name", "n_missing")))).alias("m")
-    )
     per_attribute = (
         out_of_codebook(df)
         .groupBy("attribute")
@@ -128,26 +125,32 @@ def quality_report(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
     codes = per_attribute.agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("attribute", F.map_entries("codes").alias("codes"))))).alias("m")
     )
-    target = F.col(roles.target)
-    return df.agg(
-        F.count("*").alias("n_rows"),
-        F.count_if(~target.isin(0, 1)).alias("n_invalid_targets"),
-        F.sum(target).cast("bigint").alias("n_defaults"),
-        F.avg(target).alias("default_rate"),
-    ).select(
-        "n_rows",
-        F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
-        F.lit(len(roles.features)).cast("bigint").alias("n_features"),
-        missing_total(df).select("n_missing").scalar().alias("n_missing"),
-        missing.scalar().alias("missing_by_column"),
+    t = name(roles.target)
+    counts = df.selectExpr(
+        "count(*) AS n_rows",
+        f"count_if({t} NOT IN (0, 1)) AS n_invalid_targets",
+        f"cast(sum({t}) AS bigint) AS n_defaults",
+        f"bround(avg({t}), 6) AS default_rate",
+        f"map({', '.join(f'{text(c)}, count_if({_is_missing(df, c)})' for c in df.columns)}) AS missing",
+    )
+    flat = counts.select(
+        "*",
         duplicate_rows(df, roles.id).scalar().alias("n_duplicate_rows"),
         duplicate_ids(df, roles.id).scalar().alias("n_duplicate_ids"),
+        codes.scalar().alias("codes"),
+    )
+    return flat.selectExpr(
+        "n_rows",
+        f"{len(df.columns)}L AS n_columns",
+        f"{len(roles.features)}L AS n_features",
+        "aggregate(map_values(missing), 0L, (a, n) -> a + n) AS n_missing",
+        "map_filter(missing, (c, n) -> n > 0) AS missing_by_column",
+        "n_duplicate_rows",
+        "n_duplicate_ids",
         "n_invalid_targets",
         "n_defaults",
-        F.bround("default_rate", 6).alias("default_rate"),
-        codes.scalar().alias("out_of_codebook"),
-    ).withColumn(
-        "out_of_codebook", F.transform_values("out_of_codebook", lambda _, e: F.map_from_entries(e))
+        "default_rate",
+        "transform_values(codes, (a, found) -> map_from_entries(found)) AS out_of_codebook",
     )
 
 

@@ -251,7 +251,7 @@ def v08(spark, sf):
     missing = "transform(array_sort(map_entries(missing_by_column)), e -> concat(e.key, '=', e.value))"
     codes = """flatten(transform(array_sort(map_keys(out_of_codebook)),
         a -> transform(array_sort(map_entries(out_of_codebook[a])), e -> concat(a, '.', e.key, '=', e.value))))"""
-    return validation.check(panel(spark, sf)).withColumns(
+    return validation.check(written(panel(spark, sf), "clients")).withColumns(
         {
             "missing_by_column": F.expr(f"array_join({missing}, ';')"),
             "out_of_codebook": F.expr(f"array_join({codes}, ';')"),
@@ -288,7 +288,7 @@ def c05(spark, sf):
 
 @query("c06_clean")
 def c06(spark, sf):
-    source = panel(spark, sf)
+    source = written(panel(spark, sf), "clients")
     validation.check(source)
     return clean(source)
 
