@@ -10,7 +10,7 @@ from arrearscope.functions.labels import label_of, label_sql
 from arrearscope.functions.scalars import name, number, text
 from arrearscope.operators.cleaning import clean
 from arrearscope.operators.curves import areas
-from arrearscope.operators.scoring import RiskModel, decision, risk_tier
+from arrearscope.operators.scoring import RiskModel, decision, put_back, risk_tier, set_aside
 from arrearscope.roles import FEATURES, ROLES, SEED
 from arrearscope.session import written
 
@@ -147,15 +147,15 @@ def linear_contributions(
     linear = model.linear
     if linear is None:
         return None
-    base = clean(df.select(*FEATURES, F.struct(*df.columns).alias("_in")))
-    rows = model.prep.encode(engineer(base), keep=("_in",))
+    aside = tuple(f"_in_{c}" for c in df.columns)
+    rows = model.prep.encode(engineer(clean(df.selectExpr(*FEATURES, *set_aside(df.columns)))), keep=aside)
     factors = ", ".join(
         f"named_struct('feature', {text(label_of(c))}, 'contribution', {term})"
         for c, term in linear.terms().items()
     )
     up, down = _strongest("_factors", top_k, 4)
-    return rows.selectExpr("_in", f"array({factors}) AS _factors").selectExpr(
-        "_in.*", f"{up} AS risk_increasing", f"{down} AS protective"
+    return rows.selectExpr(*map(name, aside), f"array({factors}) AS _factors").selectExpr(
+        *put_back(df.columns), f"{up} AS risk_increasing", f"{down} AS protective"
     )
 
 

@@ -58,6 +58,18 @@ def portfolio(scored: DataFrame) -> DataFrame:
     )
 
 
+def set_aside(columns) -> list[str]:
+    """Input columns under names no feature uses, so that they pass unchanged.
+
+    Plain renames: partitioning and pruning survive them.
+    """
+    return [f"{name(c)} AS {name(f'_in_{c}')}" for c in columns]
+
+
+def put_back(columns) -> list[str]:
+    return [f"{name(f'_in_{c}')} AS {name(c)}" for c in columns]
+
+
 @dataclass
 class RiskModel:
     """Preprocessing, classifier, calibrator, thresholds and metadata together."""
@@ -87,14 +99,14 @@ class RiskModel:
         the feature vector once. ``cleaned`` rows are taken as they are.
         """
         require_columns(df, FEATURES)
-        inputs = df.select(*FEATURES, F.struct(*df.columns).alias("_in"))
-        base = self.prep.encode(engineer(inputs if cleaned else clean(inputs)), keep=("_in",))
+        inputs = df.selectExpr(*FEATURES, *set_aside(df.columns))
+        aside = tuple(f"_in_{c}" for c in df.columns)
+        base = self.prep.encode(engineer(inputs if cleaned else clean(inputs)), keep=aside)
         if self.linear is not None:
-            scored = base.selectExpr("_in", f"{self.linear.probability()} AS {name(output)}")
-        else:
-            vector = VectorAssembler(inputCols=self.prep.names, outputCol="features")
-            scored = positive_probability(self.classifier, vector.transform(base), output)
-        return scored.select("_in.*", output)
+            return base.selectExpr(*put_back(df.columns), f"{self.linear.probability()} AS {name(output)}")
+        vector = VectorAssembler(inputCols=self.prep.names, outputCol="features")
+        scored = positive_probability(self.classifier, vector.transform(base), output)
+        return scored.selectExpr(*put_back(df.columns), name(output))
 
     def probability(
         self, df: DataFrame, output: str = "default_probability", cleaned: bool = False
