@@ -10,7 +10,7 @@ from arrearscope.functions.labels import label_of, label_sql
 from arrearscope.functions.scalars import name, number, text
 from arrearscope.operators.cleaning import clean
 from arrearscope.operators.curves import areas
-from arrearscope.operators.scoring import RiskModel, decision, put_back, risk_tier, set_aside
+from arrearscope.operators.scoring import RiskModel, decision, risk_tier, set_aside
 from arrearscope.roles import FEATURES, ROLES, SEED
 from arrearscope.session import written
 
@@ -147,15 +147,15 @@ def linear_contributions(
     linear = model.linear
     if linear is None:
         return None
-    aside = tuple(f"_in_{c}" for c in df.columns)
-    rows = model.prep.encode(engineer(clean(df.selectExpr(*FEATURES, *set_aside(df.columns)))), keep=aside)
+    inputs = df.selectExpr(*FEATURES, set_aside(df.columns))
+    rows = model.prep.encode(engineer(clean(inputs)), keep=("_in",))
     factors = ", ".join(
         f"named_struct('feature', {text(label_of(c))}, 'contribution', {term})"
         for c, term in linear.terms().items()
     )
     up, down = _strongest("_factors", top_k, 4)
-    return rows.selectExpr(*map(name, aside), f"array({factors}) AS _factors").selectExpr(
-        *put_back(df.columns), f"{up} AS risk_increasing", f"{down} AS protective"
+    return rows.selectExpr("_in", f"array({factors}) AS _factors").selectExpr(
+        "_in.*", f"{up} AS risk_increasing", f"{down} AS protective"
     )
 
 
@@ -171,7 +171,7 @@ def ablation_contributions(model: RiskModel, df: DataFrame, top_k: int = TOP_FAC
     if not reference:
         empty = F.array().cast(FACTOR_TYPE)
         return model.probability(df).withColumns({"risk_increasing": empty, "protective": empty})
-    packed = df.select(*FEATURES, F.struct(*df.columns).alias("_in"))
+    packed = df.selectExpr(*FEATURES, set_aside(df.columns))
     keyed = clean(packed).withColumn("_row", F.monotonically_increasing_id()).repartition("_row")
     resets = ", ".join(text(c) for c in ("", *FEATURES))
     reset = keyed.selectExpr("*", f"explode(array({resets})) AS _reset").selectExpr(
@@ -183,7 +183,7 @@ def ablation_contributions(model: RiskModel, df: DataFrame, top_k: int = TOP_FAC
             for c in FEATURES
         ],
     )
-    scored = model.probability(reset, "_p", cleaned=True).select("_row", "_reset", "_in", "_p")
+    scored = model.probability(reset, "_p", cleaned=True, keep=("_row", "_reset")).select("_row", "_reset", "_in", "_p")
     gathered = scored.groupBy("_row").agg(
         F.expr("first(_in, true) AS _in"),
         F.expr("max(if(_reset = '', _p, NULL)) AS default_probability"),

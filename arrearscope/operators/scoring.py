@@ -58,16 +58,13 @@ def portfolio(scored: DataFrame) -> DataFrame:
     )
 
 
-def set_aside(columns) -> list[str]:
-    """Input columns under names no feature uses, so that they pass unchanged.
+def set_aside(columns) -> str:
+    """Input columns as one struct ``_in``, out of the way of feature names.
 
-    Plain renames: partitioning and pruning survive them.
+    Not one alias per column: with two names for every feature Catalyst would
+    derive exponentially many constraints from a filter over many features.
     """
-    return [f"{name(c)} AS {name(f'_in_{c}')}" for c in columns]
-
-
-def put_back(columns) -> list[str]:
-    return [f"{name(f'_in_{c}')} AS {name(c)}" for c in columns]
+    return f"struct({', '.join(map(name, columns))}) AS _in"
 
 
 @dataclass
@@ -91,30 +88,30 @@ class RiskModel:
         return None
 
     def raw_probability(
-        self, df: DataFrame, output: str = "raw_probability", cleaned: bool = False
+        self, df: DataFrame, output: str = "raw_probability", cleaned: bool = False, keep: tuple[str, ...] = ()
     ) -> DataFrame:
         """Uncalibrated probability; every input column is kept.
 
         A linear model becomes one generated expression. Other models go through
-        the feature vector once. ``cleaned`` rows are taken as they are.
+        the feature vector once. ``cleaned`` rows are taken as they are; columns
+        in ``keep`` (no features) come last and keep the rows' partitioning.
         """
         require_columns(df, FEATURES)
-        inputs = df.selectExpr(*FEATURES, *set_aside(df.columns))
-        aside = tuple(f"_in_{c}" for c in df.columns)
-        base = self.prep.encode(engineer(inputs if cleaned else clean(inputs)), keep=aside)
+        inputs = df.selectExpr(*FEATURES, *map(name, keep), set_aside([c for c in df.columns if c not in keep]))
+        base = self.prep.encode(engineer(inputs if cleaned else clean(inputs)), keep=(*keep, "_in"))
         if self.linear is not None:
-            return base.selectExpr(*put_back(df.columns), f"{self.linear.probability()} AS {name(output)}")
+            return base.selectExpr("_in.*", *map(name, keep), f"{self.linear.probability()} AS {name(output)}")
         vector = VectorAssembler(inputCols=self.prep.names, outputCol="features")
         scored = positive_probability(self.classifier, vector.transform(base), output)
-        return scored.selectExpr(*put_back(df.columns), name(output))
+        return scored.selectExpr("_in.*", *map(name, keep), name(output))
 
     def probability(
-        self, df: DataFrame, output: str = "default_probability", cleaned: bool = False
+        self, df: DataFrame, output: str = "default_probability", cleaned: bool = False, keep: tuple[str, ...] = ()
     ) -> DataFrame:
         """Calibrated probability, or the raw one without a calibrator."""
         if self.calibrator is None:
-            return self.raw_probability(df, output, cleaned)
-        raw = self.raw_probability(df, "_raw", cleaned)
+            return self.raw_probability(df, output, cleaned, keep)
+        raw = self.raw_probability(df, "_raw", cleaned, keep)
         return self.calibrator.apply(raw, "_raw", output).drop("_raw")
 
     def predict(self, df: DataFrame, output: str = "label") -> DataFrame:
