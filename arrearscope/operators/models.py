@@ -26,6 +26,7 @@ from arrearscope.operators.curves import areas
 from arrearscope.operators.preparation import Preprocessor
 from arrearscope.operators.splitting import with_fold
 from arrearscope.roles import POLICY, ROLES, SEED
+from arrearscope.session import written
 
 # Simplicity rank (lower is simpler), search space and budget.
 COMPLEXITY = {
@@ -235,7 +236,7 @@ def tune(
     folds = folds or FOLDS[family]
     draws = sample_parameters(family, iterations or SEARCH_ITERATIONS[family], seed)
     draws = [{**d, **(overrides or {})} for d in draws]
-    folded = with_fold(frame, folds, seed, target=LABEL)
+    folded = written(with_fold(frame, folds, seed, target=LABEL), "folds")
     rows = frame.count()
     base = estimator(family, draws[0], rows, seed)
     maps = [
