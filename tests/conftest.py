@@ -9,7 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from arrearscope.operators.scoring import RiskModel  # noqa: E402
 from arrearscope.plans import scorecard, training  # noqa: E402
-from arrearscope.roles import CLIENT_SCHEMA, FEATURES, ROLES  # noqa: E402
+from arrearscope.roles import CLIENT_SCHEMA, ROLES  # noqa: E402
 from arrearscope.session import drop_written, local_session, written  # noqa: E402
 from arrearscope.sources.statements import panel  # noqa: E402
 
@@ -65,5 +65,3 @@ def make_clients(spark):
 
     return build
 
-
-__all__ = ["APPLICANT", "FEATURES"]
