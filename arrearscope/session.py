@@ -38,6 +38,10 @@ def local_session(cores: int | str = 8, app: str = "arrearscope") -> SparkSessio
     return configure(spark)
 
 
+#: Folders made for local sessions that name none, by application.
+_own_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, as the session names it.
 
@@ -49,13 +53,19 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="arrearscope-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _own_roots:
+        _own_roots[app] = tempfile.mkdtemp(prefix="arrearscope-")
+    return _own_roots[app]
+
+
+def scratch_home(spark: SparkSession) -> str:
+    """This application's part of the shared folder; others' parts are never touched."""
+    return f"{scratch_root(spark)}/arrearscope/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/arrearscope/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_home(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -71,8 +81,11 @@ def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def drop_written(spark: SparkSession) -> None:
-    """Remove every intermediate table this package wrote for the session."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/arrearscope")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Remove every intermediate table this application wrote."""
+    drop_path(spark, scratch_home(spark))
