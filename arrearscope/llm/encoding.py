@@ -11,22 +11,30 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
-import numpy as np
-
 #: Pieces in the young table of a Python worker. When it is full it becomes the
 #: old one; pieces of the old table that come again move back.
-REMEMBERED = 300_000
+REMEMBERED = 450_000
 #: Longest piece (characters) worth remembering.
 LONGEST = 64
 #: Characters encoded at a time, so that cut texts stay small in memory.
 BATCH_CHARS = 2_000_000
 
-_odd_space = re.compile(r"[^\S \t\n\r]|  ")
+_odd_space = re.compile(r"[^\S \t\n\r]")
+#: One word of ASCII and Latin-1 letters, with a blank before and marks behind.
+_word = re.compile(r"( ?)([A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\xFF]+)([.,!?;:#*$%&]*)")
 _pieces = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-_line_space = str.maketrans("\t\n\r", "   ")
+
+
+def byte_letters() -> dict[int, str]:
+    """Character that stands for each byte in byte-level vocabularies: itself if printable, else the next from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class Encoder:
@@ -36,10 +44,17 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        if sys.byteorder != "little":
+            raise RuntimeError("ids are kept as native little-endian arrays")
+
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+        self.marks: dict[str, bytes] = {}
         self.drops_space = self.tokenizer.normalizer is not None
         self.width = 2 if self.tokenizer.get_vocab_size(True) <= 1 << 16 else 4
+        self.code = "H" if self.width == 2 else "I"  # of native, little-endian arrays
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -50,17 +65,46 @@ class Encoder:
     def _cut(self, text: str) -> list[str]:
         """Pieces that may be encoded alone, in order."""
         if self.drops_space:
-            return (text.translate(_line_space) if _line_space_in(text) else text).split(" ")
-        if _odd_space.search(text):
-            if re.search(r"[^\S \t\n\r]", text):
-                return [text]
+            return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        # printable texts hold no control character and no white space but blanks
+        if not text.replace("\n", " ").isprintable() and _odd_space.search(text):
+            return [text]
+        if "  " in text or "\0" in text:
             return _pieces.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[f" {x}" for x in rest]]
+        return text.replace(" ", "\0 ").split("\0")  # a blank goes with what follows
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(pieces, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
+        return [array(self.code, e.ids).tobytes() for e in found]
+
+    def _word_ids(self, blank: str, word: str) -> bytes:
+        """Ids of one word, by the tokenizer's model alone."""
+        if self.drops_space:
+            word = word.lower()
+        if blank or not word.isascii():
+            word = "".join([self.letters[b] for b in (blank + word).encode()])
+        return array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that are not in the tables."""
+        found, others = {}, []
+        for piece in new:
+            match = _word.fullmatch(piece)
+            if match is None or (self.drops_space and match[1]):
+                others.append(piece)
+                continue
+            blank, word, marks = match.groups()
+            bare = word.lower() if self.drops_space else blank + word
+            ids = self.known.get(bare) or found.get(bare) or self._word_ids(blank, word)
+            if marks:
+                if marks not in self.marks and len(self.marks) < 10_000:
+                    self.marks[marks] = self._ids([marks])[0]
+                ids += self.marks.get(marks) or self._ids([marks])[0]
+            found[piece] = ids
+        for start in range(0, len(others), 20_000):
+            part = others[start : start + 20_000]
+            found.update(zip(part, self._ids(part)))
+        return found
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """One value per text, in order; a null text has no ids."""
@@ -84,19 +128,13 @@ class Encoder:
                     known[piece] = old[piece]
                 else:
                     new.append(piece)
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            for piece, ids in zip(part, self._ids(part)):
-                (known if len(piece) <= LONGEST else once)[piece] = ids
+        for piece, ids in self._learn(new).items():
+            (known if len(piece) <= LONGEST else once)[piece] = ids
         if once:
             return [b"".join([known[x] if len(x) <= LONGEST else once[x] for x in pieces]) for pieces in cut]
         return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
 
 
-def _line_space_in(text: str) -> bool:
-    return "\n" in text or "\t" in text or "\r" in text
-
-
 _encoders: dict[str, Encoder] = {}
 
 
