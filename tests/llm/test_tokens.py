@@ -44,6 +44,16 @@ def test_pieces_encode_as_the_whole_text(parts):
         assert np.frombuffer(found, encoder.dtype).tolist() == whole_ids(name, text)
 
 
+def test_words_and_marks_encode_as_the_whole_text(small_docs):
+    words = {w for r in small_docs.limit(120).collect() for w in r["text"].split()}
+    words |= {"Ärger,", "ÉTÉ", "ß", "ÿ!!", "don't.", "x_y", "a1b", "µm", "ª", "ÅNGSTRÖM###", "Œuvre", "'s", "word's", "é́", "K"}
+    for name, encoder in ENCODERS.items():
+        for form in ("{0}", " {0}", "x {0} y", "{0}\n{0}"):
+            texts = [form.format(w) for w in sorted(words)]
+            for text, ids in zip(texts, encoder.encode(texts)):
+                assert np.frombuffer(ids, encoder.dtype).tolist() == whole_ids(name, text), text
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 5000), min_size=1, max_size=300))
 def test_boundaries_round_trip_and_select(lengths):
