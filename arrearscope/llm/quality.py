@@ -45,12 +45,12 @@ class Rule(NamedTuple):
 
 #: The threshold table. Ratios are null without a word, and a null fails.
 RULES = (
-    Rule("mean word length", "word_chars / n_words", 2.0, 15.0),
-    Rule("symbols per word", "n_symbols / n_words", None, 0.3),
-    Rule("stop words", "n_stop_words / n_words", 0.03, None),
-    Rule("upper-case share", "n_upper / word_chars", None, 0.5),
-    Rule("repeated lines", "n_dup_lines / n_lines", None, 0.5),
-    Rule("words in repeated windows", "n_repeat_words / n_words", None, 0.5),
+    Rule("mean word length", "try_divide(word_chars, n_words)", 2.0, 15.0),
+    Rule("symbols per word", "try_divide(n_symbols, n_words)", None, 0.3),
+    Rule("stop words", "try_divide(n_stop_words, n_words)", 0.03, None),
+    Rule("upper-case share", "try_divide(n_upper, word_chars)", None, 0.5),
+    Rule("repeated lines", "try_divide(n_dup_lines, n_lines)", None, 0.5),
+    Rule("words in repeated windows", "try_divide(n_repeat_words, n_words)", None, 0.5),
 )
 
 
