@@ -11,6 +11,7 @@ the counts are.
 from __future__ import annotations
 
 import math
+import sys
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -20,6 +21,8 @@ from arrearscope.functions.scalars import name, number
 
 #: Bins per open range and pass.
 BINS = 1024
+#: Largest finite double.
+LARGEST = sys.float_info.max
 #: Row count up to which the built-in ``percentile`` is cheap enough.
 SMALL_ROWS = 20_000
 #: Ranges with at most this many rows together are finished by listing values.
@@ -70,8 +73,13 @@ def _bin_cells(value: str, ranges: list[Range]) -> str:
     """
     cases = []
     for i, r in enumerate(ranges):
-        low, width = number(float(r.low)), number(float(r.high) - float(r.low))
-        slot = f"cast(least(floor(({value} - {low}) / {width} * {BINS}), {BINS - 1}) AS int)"
+        # halves keep the widest range finite; an infinite value takes the end cell
+        bottom, top = (min(max(float(x), -LARGEST), LARGEST) / 2 for x in (r.low, r.high))
+        half = f"least(greatest({value}, {number(-LARGEST)}), {number(LARGEST)}) / 2"
+        if top == bottom:
+            slot = f"if({value} = {number(float(r.low))}, 0, {BINS - 1})"
+        else:
+            slot = f"cast(least(floor(({half} - {number(bottom)}) / {number(top - bottom)} * {BINS}), {BINS - 1}) AS int)"
         cases.append(f"WHEN {_within(value, r)} THEN {slot} + {i * BINS}")
     return f"CASE {' '.join(cases)} END"
 
@@ -146,6 +154,7 @@ def order_statistics(
     wanted = {c: sorted({k for k in ranks[c] if 0 <= k < r.rows}) for c, r in extent.items()}
     ranges = {c: [extent[c]] for c in columns if wanted[c]}
     done: dict[str, dict[int, OrderStatistic]] = {c: {} for c in columns}
+    before = None
     while True:
         open_ranges: dict[str, list[Range]] = {}
         for c, found in ranges.items():
@@ -160,6 +169,9 @@ def order_statistics(
         open_ranges = {c: rs for c, rs in open_ranges.items() if rs}
         if not open_ranges:
             return done
+        if open_ranges == before:
+            raise ArithmeticError(f"a pass did not narrow the ranges {open_ranges}")
+        before = open_ranges
         if sum(r.rows for rs in open_ranges.values() for r in rs) <= LISTED_ROWS:
             ranges = _list_values(df, columns, open_ranges)
         else:

@@ -2,7 +2,7 @@
 
 Rows are first reduced to one row per distinct score (combined map-side, so a
 score shared by a third of all rows is one row), then cut into score ranges of
-about equal row counts. Each range is cumulated on its own and shifted by the
+about equal row counts, whose number follows from the distinct scores. Each range is cumulated on its own and shifted by the
 totals of the ranges above it; no task ever sorts the whole table.
 """
 
@@ -15,28 +15,27 @@ from pyspark.sql import functions as F
 from arrearscope.functions.scalars import name, number
 from arrearscope.session import written
 
-#: Distinct scores one task may sort; below this a single range is enough.
-SCORES_PER_RANGE = 500_000
-#: Upper bound of ranges, and so of the offset table.
-MAX_RANGES = 4_096
+#: Distinct scores that are cumulated in one task, about; their number sets the ranges.
+SCORES_PER_RANGE = 100_000
 
 
 def score_counts(df: DataFrame, score: str, label: str, by: tuple[str, ...] = ()) -> DataFrame:
-    """(by..., p, pos, neg): label counts per distinct score."""
-    return df.groupBy(*by, F.col(score).cast("double").alias("p")).agg(
+    """(by..., p, pos, neg): label counts per distinct score; a missing score has no rank and raises."""
+    p = F.col(score).cast("double")
+    ranked = F.when(p.isNotNull() & ~F.isnan(p), p).otherwise(F.raise_error(F.lit("a row without a score cannot be ranked")))
+    return df.groupBy(*by, ranked.alias("p")).agg(
         F.expr(f"count_if({name(label)} = 1) AS pos"), F.expr(f"count_if({name(label)} = 0) AS neg")
     )
 
 
 def range_edges(counts: DataFrame, scores_per_range: int = SCORES_PER_RANGE) -> list[float]:
-    """Inner edges of score ranges with about equally many scores; [] for one range.
+    """Inner edges of score ranges with about equally many scores; none for a single range.
 
     The edges only balance the work: any edges give the same result.
     """
-    if counts.count() <= scores_per_range:
+    parts = -(-counts.count() // scores_per_range)
+    if parts < 2:
         return []
-    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(2, min(MAX_RANGES, 2 * parts))
     levels = ", ".join(number(i / parts) for i in range(1, parts))
     row = counts.selectExpr(f"percentile_approx(p, array({levels}), {10 * parts}) AS edges").first()
     return sorted({float(e) for e in row["edges"]})
@@ -44,6 +43,8 @@ def range_edges(counts: DataFrame, scores_per_range: int = SCORES_PER_RANGE) ->
 
 def _with_range(counts: DataFrame, edges: list[float]) -> DataFrame:
     splits = [-float("inf"), *edges, float("inf")]
+    if not edges:
+        return counts.withColumn("_range", F.lit(0))
     cut = Bucketizer(splits=splits, inputCol="p", outputCol="_range", handleInvalid="error")
     return cut.transform(counts).withColumn("_range", F.col("_range").cast("int"))
 
@@ -72,10 +73,8 @@ def ranked_counts(
     """
     counts = written(score_counts(df, score, label, by), "scores")
     edges = range_edges(counts, scores_per_range)
-    if not edges:
-        return counts.selectExpr("*", *_above(*by))
     ranged = _with_range(counts, edges)
-    # at most MAX_RANGES rows per group
+    # a row per range and group
     totals = ranged.groupBy(*by, "_range").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     part = f"PARTITION BY {cols(by)} " if by else ""
     higher = f"({part}ORDER BY _range DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"

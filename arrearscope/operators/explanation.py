@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arrearscope.functions.engineered import engineer
-from arrearscope.functions.labels import label_of, label_sql
+from arrearscope.functions.labels import label_sql
 from arrearscope.functions.scalars import name, number, text
 from arrearscope.operators.cleaning import clean
 from arrearscope.operators.curves import areas
@@ -150,7 +150,7 @@ def linear_contributions(
     inputs = df.selectExpr(*FEATURES, set_aside(df.columns))
     rows = model.prep.encode(engineer(clean(inputs)), keep=("_in",))
     factors = ", ".join(
-        f"named_struct('feature', {text(label_of(c))}, 'contribution', {term})"
+        f"named_struct('feature', {label_sql(text(c))}, 'contribution', {term})"
         for c, term in linear.terms().items()
     )
     up, down = _strongest("_factors", top_k, 4)

@@ -238,18 +238,23 @@ def tune(
     draws = [{**d, **(overrides or {})} for d in draws]
     folded = written(with_fold(frame, folds, seed, target=LABEL), "folds")
     rows = frame.count()
-    base = estimator(family, draws[0], rows, seed)
-    maps = [
-        {base.getParam(p.name): v for p, v in estimator(family, d, rows, seed).extractParamMap().items()}
-        for d in draws
-    ]
+    fold_rows = rows - rows // folds  # what one fold's model is fitted on
+    base = estimator(family, draws[0], fold_rows, seed)
+
+    def settings(draw: dict[str, Any], n: int) -> dict[str, Any]:
+        return {p.name: v for p, v in estimator(family, draw, n, seed).extractParamMap().items()}
+
+    maps = [{base.getParam(k): v for k, v in settings(d, fold_rows).items()} for d in draws]
     search = CrossValidator(
         estimator=base, estimatorParamMaps=maps, evaluator=AveragePrecisionEvaluator(),
         numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed,
     ).fit(folded)
     scores = list(search.avgMetrics)
     best = max(range(len(scores)), key=lambda i: scores[i])
-    return Tuned(family, draws[best], search.bestModel, scores[best], list(zip(draws, scores)))
+    # penalties that depend on the number of rows need a refit with all of them
+    same = settings(draws[best], rows) == settings(draws[best], fold_rows)
+    model = search.bestModel if same else estimator(family, draws[best], rows, seed).fit(frame)
+    return Tuned(family, draws[best], model, scores[best], list(zip(draws, scores)))
 
 
 # -- selection -----------------------------------------------------------------------

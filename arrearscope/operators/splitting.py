@@ -88,7 +88,7 @@ def with_split(
     id_column: str = ROLES.id,
     target: str = ROLES.target,
 ) -> DataFrame:
-    """Append ``split``; shares are exact per class and depend on ids only."""
+    """Append ``split``; shares are exact per class and depend on ids only. Rows without a label have none."""
     fractions = fractions or SPLIT_FRACTIONS
     check_fractions(fractions.values())
     h = seeded_hash(seed, id_column)
@@ -98,7 +98,7 @@ def with_split(
     cases = " ".join(
         f"WHEN {_at_or_before('_h', id_column, target, cuts, e)} THEN {text(part)}" for part, e in zip(names, edges)
     )
-    placed = df.selectExpr("*", f"{h} AS _h").selectExpr("*", f"CASE {cases} ELSE {text(names[-1])} END AS split")
+    placed = df.selectExpr("*", f"{h} AS _h").selectExpr("*", f"CASE WHEN {name(target)} IS NULL THEN NULL {cases} ELSE {text(names[-1])} END AS split")
     return placed.drop("_h")
 
 
@@ -109,9 +109,9 @@ def with_fold(
     id_column: str = ROLES.id,
     target: str = ROLES.target,
 ) -> DataFrame:
-    """Append ``fold`` 0..k-1: equal consecutive blocks of each class's order."""
+    """Append ``fold`` 0..k-1: equal consecutive blocks of each class's order; null without a label."""
     h = seeded_hash(seed, id_column)
     edges = [(i + 1) / folds for i in range(folds - 1)]
     cuts = _cuts(df, h, edges, id_column, target)
     after = " + ".join(f"if({_at_or_before('_h', id_column, target, cuts, e)}, 0, 1)" for e in edges) or "0"
-    return df.selectExpr("*", f"{h} AS _h").selectExpr("*", f"cast({after} AS int) AS fold").drop("_h")
+    return df.selectExpr("*", f"{h} AS _h").selectExpr("*", f"CASE WHEN {name(target)} IS NOT NULL THEN cast({after} AS int) END AS fold").drop("_h")

@@ -219,7 +219,7 @@ def v03_total(spark, sf):
 
 @query("v04_duplicate_rows")
 def v04(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    lines = table(spark, sf, "lineitem")
     found = [
         validation.duplicate_rows(panel(spark, sf)).selectExpr("'clients' AS table_name", "*"),
         validation.duplicate_rows(lines, "l_orderkey").selectExpr("'lineitem' AS table_name", "*"),
@@ -868,7 +868,7 @@ def n05(spark, sf):
 def _applications(spark, sf) -> DataFrame:
     """The client table as a stream of application files."""
     path = scratch_path(spark, "applications")
-    prepared(spark, sf).table.select("id", *FEATURES).repartition(4).write.parquet(path)
+    prepared(spark, sf).table.select("id", *FEATURES).write.parquet(path)
     return streams.read_applications(spark, path, files_per_batch=2)
 
 
@@ -883,7 +883,7 @@ def t01(spark, sf):
 @query("t02_stream_quarantine")
 def t02(spark, sf):
     path = scratch_path(spark, "applications")
-    panel(spark, sf).select("id", *FEATURES).repartition(4).write.parquet(path)
+    panel(spark, sf).select("id", *FEATURES).write.parquet(path)
     stream = streams.read_applications(spark, path, files_per_batch=2)
     good, bad = scratch_path(spark, "accepted"), scratch_path(spark, "rejected")
     streams.quarantine_stream(

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from arrearscope.functions.bands import AGE_BANDS, GROUP_LABELS
 from arrearscope.functions.engineered import ENGINEERED
-from arrearscope.functions.labels import FEATURE_LABELS, label_of
 from arrearscope.plans import scorecard as sc
 from arrearscope.roles import (
     BILL,
@@ -25,6 +24,40 @@ from arrearscope.roles import (
     TARGET,
 )
 
+
+#: Display labels, written out for comparison and independent of the engine.
+_SHOWN = {
+    "payment_delay_rate": "late-payment frequency",
+    "serious_delay_rate": "serious delinquency frequency",
+    "max_delay_months": "worst payment delay (months)",
+    "pay_duly_rate": "share of months paid in full",
+    "revolving_use_rate": "share of months with revolving balance",
+    "total_bill_amount": "total billed amount",
+    "avg_bill_amount": "average monthly bill",
+    "bill_volatility": "bill volatility",
+    "total_payment_amount": "total repaid amount",
+    "avg_payment_amount": "average monthly repayment",
+    "payment_volatility": "repayment volatility",
+    "net_cash_flow": "net cash flow (repayments - bills)",
+    "payment_to_bill_ratio": "repayment-to-bill ratio",
+    "credit_utilization": "credit utilisation",
+    "payment_to_limit_ratio": "repayment-to-limit ratio",
+    "bill_trend": "bill trend over window",
+    "recent_delay_flag": "most recent month delinquency",
+    "limit_bal": "credit limit",
+    "age": "age",
+    "education": "education level",
+    **{f"pay_{m}": f"repayment status (month -{m})" for m in (0, 2, 3, 4, 5, 6)},
+    **{f"bill_amt{m}": f"statement balance (month -{m})" for m in (1, 2, 3, 4, 5, 6)},
+    **{f"pay_amt{m}": f"amount repaid (month -{m})" for m in (1, 2, 3, 4, 5, 6)},
+    **{f"education_{v}": f"education level {v}" for v in (1, 2, 3, 4)},
+}
+
+
+def _shown(feature: str) -> str:
+    return _SHOWN[feature.removeprefix("num__").removeprefix("cat__")]
+
+
 SCALED = (*NUMERIC, *ENGINEERED)
 
 
@@ -365,7 +398,7 @@ add(
     "v04_duplicate_rows",
     f"""SELECT 'clients' AS table_name, (SELECT count(*) FROM panel) - (SELECT count(*) FROM (SELECT DISTINCT {ALL25} FROM panel)) AS n_duplicate_rows
   UNION ALL SELECT 'lineitem', (SELECT count(*) FROM lineitem)
-    - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem))""",
+    - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem))""",
     "panel",
 )
 add(
@@ -792,7 +825,7 @@ def factors_of(source: str) -> str:
 
 
 _TERMS = " UNION ALL ".join(
-    f"SELECT id, {quoted(label_of(c))} AS feature, ({w!r}::double) * ({encoded_sql(c)}) AS contribution FROM parts, {PARAMS}"
+    f"SELECT id, {quoted(_shown(c))} AS feature, ({w!r}::double) * ({encoded_sql(c)}) AS contribution FROM parts, {PARAMS}"
     for c, w in sc.WEIGHTS.items()
 )
 add(
@@ -810,7 +843,7 @@ def _reset(c: str) -> str:
 _RESETS = f"""(SELECT clean.id, reset, {', '.join(_reset(c) for c in FEATURES)}
   FROM clean, meds, (SELECT unnest(['', {', '.join(quoted(c) for c in FEATURES)}]) AS reset))"""
 _VARIANTS = f"SELECT id, reset, {CALIBRATED_P} AS p FROM ({engineered(_RESETS)}), {PARAMS}"
-_LABEL = "CASE v.reset " + " ".join(f"WHEN '{c}' THEN {quoted(label_of(c))}" for c in FEATURES) + " END"
+_LABEL = "CASE v.reset " + " ".join(f"WHEN '{c}' THEN {quoted(_shown(c))}" for c in FEATURES) + " END"
 _ABLATED = factors_of(
     f"""SELECT v.id, {_LABEL} AS feature, round_even(b.p - v.p, 4) AS contribution, round_even(b.p - v.p, 4) AS shown
     FROM ({_VARIANTS}) v JOIN ({_VARIANTS}) b ON b.id = v.id AND b.reset = '' WHERE v.reset <> ''"""
@@ -818,15 +851,15 @@ _ABLATED = factors_of(
 add("x04_ablation", _ABLATED, "clean", *PARAM_NEEDS)
 add(
     "x06_feature_labels",
-    f"""SELECT feature, label, {r6('value', 4)} AS mean_value FROM ({' UNION ALL '.join(f"SELECT '{c}' AS feature, {quoted(label_of(c))} AS label, avg({encoded_sql(c)}) AS value FROM parts, {PARAMS}" for c in ENCODED)})""",
+    f"""SELECT feature, label, {r6('value', 4)} AS mean_value FROM ({' UNION ALL '.join(f"SELECT '{c}' AS feature, {quoted(_shown(c))} AS label, avg({encoded_sql(c)}) AS value FROM parts, {PARAMS}" for c in ENCODED)})""",
     "parts",
     *PARAM_NEEDS,
 )
-_RAW_LABELS = {**{c: label_of(c) for c in FEATURES}}
+_RAW_LABELS = {**{c: _shown(c) for c in FEATURES}}
 add(
     "x07_top_importances",
     f"""SELECT feature, {r6('importance')} AS importance, label FROM (
-    {' UNION ALL '.join(f"SELECT 'num__{c}' AS feature, abs(corr(cast({c} AS double), cast({TARGET} AS double))) AS importance, {quoted(FEATURE_LABELS[c])} AS label FROM parts WHERE split = 'train'" for c in SCALED)})
+    {' UNION ALL '.join(f"SELECT 'num__{c}' AS feature, abs(corr(cast({c} AS double), cast({TARGET} AS double))) AS importance, {quoted(_shown(c))} AS label FROM parts WHERE split = 'train'" for c in SCALED)})
   ORDER BY importance DESC, feature LIMIT 20""",
     "parts",
 )

@@ -46,26 +46,52 @@ def to_raw(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(CANONICAL_TO_RAW.get(c, c)) for c in df.columns])
 
 
+def _require(found: list[str], path: str) -> None:
+    """Every delivered column must be in the file; a scan would fill an absent one with nulls."""
+    absent = [f.name for f in RAW_SCHEMA.fields if f.name not in found]
+    if absent:
+        raise ValueError(f"columns not in {path}: {', '.join(absent)}")
+
+
+def _read_typed(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    _require(spark.read.format(fmt).load(path).columns, path)
+    table = spark.read.schema(RAW_SCHEMA).format(fmt).load(path)
+    return project_canonical(nan_to_null(rename_raw(table)))
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return project_canonical(nan_to_null(rename_raw(spark.read.schema(RAW_SCHEMA).parquet(path))))
+    return _read_typed(spark, path, "parquet")
 
 
 def read_orc(spark: SparkSession, path: str) -> DataFrame:
-    return project_canonical(nan_to_null(rename_raw(spark.read.schema(RAW_SCHEMA).orc(path))))
+    return _read_typed(spark, path, "orc")
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV delivered with a banner row above the header, in any number of files.
 
     Files split across tasks, so "the second line" has no meaning there; the
-    banner and header rows are recognised by their content. A malformed number
-    raises under ANSI casts instead of turning into a silent null.
+    banner and header rows are recognised by their content, and columns are taken
+    by the names in the header, which all files must share. Absent and unknown
+    names raise. Files without any header are taken in the delivered order. A
+    malformed number raises under ANSI casts instead of turning into a silent null.
     """
-    names = [f.name for f in RAW_SCHEMA.fields]
-    text = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    rows = spark.read.schema(text).option("header", False).csv(path)
-    header = F.col(names[0]) == names[0]
-    banner = F.col(names[1]) == BANNER_CELL
+    rows = spark.read.option("header", False).csv(path)
+    key = CANONICAL_TO_RAW[ROLES.id]
+    cells = F.array(*rows.columns)
+    headers = rows.filter(F.array_contains(cells, key)).select(cells.alias("names")).distinct().limit(2).collect()
+    if len(headers) > 1:
+        raise ValueError(f"the files of {path} have different headers")
+    names = headers[0]["names"] if headers else [f.name for f in RAW_SCHEMA.fields]
+    if len(names) != len(rows.columns):
+        raise ValueError(f"{path} has no header and not the delivered number of columns")
+    _require(names, path)
+    known = {f.name for f in RAW_SCHEMA.fields}
+    if unknown := [n for n in names if n not in known]:
+        raise ValueError(f"unknown columns in {path}: {', '.join(map(str, unknown))}")
+    rows = rows.toDF(*names)
+    header = F.col(key) == key
+    banner = F.array_contains(F.array(*names), BANNER_CELL)
     rows = rows.filter(~F.coalesce(header, F.lit(False)) & ~F.coalesce(banner, F.lit(False)))
     typed = rows.select(*[_number(f) for f in RAW_SCHEMA.fields])
     return project_canonical(nan_to_null(rename_raw(typed)))

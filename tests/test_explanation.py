@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from arrearscope.functions.labels import label_of, label_sql
+from arrearscope.functions.labels import COLUMN_LABELS, label_sql
 from arrearscope.operators import explanation as x
 from arrearscope.operators.models import LinearModel
 from arrearscope.operators.scoring import RiskModel
@@ -25,7 +25,7 @@ def by_hand(model, df, top_k):
         for r in model.probability(reset, "p", cleaned=True).collect():
             change = round(base[r.id] - r.p, 4)
             if change:
-                (up if change > 0 else down)[r.id].append((label_of(c), change))
+                (up if change > 0 else down)[r.id].append((COLUMN_LABELS[c], change))
     key = lambda f: (-abs(f[1]), f[0])
     return ({i: sorted(v, key=key)[:top_k] for i, v in s.items()} for s in (up, down))
 
@@ -123,7 +123,10 @@ def test_labels(spark):
     names = ["num__pay_0", "cat__education_3", "bill_amt4", "net_cash_flow", "num__some_thing", "sex_2", "education", "age_1"]
     df = spark.createDataFrame([(n,) for n in names], "f string")
     found = {r.f: r.label for r in df.selectExpr("f", f"{label_sql('f')} AS label").collect()}
-    assert found == {n: label_of(n) for n in names}
+    assert [found[n] for n in names] == [
+        "repayment status (month -0)", "education level 3", "statement balance (month -4)",
+        "net cash flow (repayments - bills)", "some thing", "sex 2", "education level", "age 1",
+    ]
     assert found["cat__education_3"] == "education level 3"
     assert found["num__some_thing"] == "some thing"
     assert found["num__pay_0"] == "repayment status (month -0)"

@@ -149,3 +149,11 @@ def test_comparison_rounds_quality_columns(spark):
     one = metrics.metrics(scored(spark, SMALL))
     row = metrics.comparison([("first", one), ("second", one)]).orderBy("model").first()
     assert row.model == "first" and row.roc_auc == 0.8338 and row.n == 6000
+
+
+@pytest.mark.parametrize("scores_per_range", [10**6, 2])
+@pytest.mark.parametrize("odd", [None, float("nan")])
+def test_a_missing_score_raises_at_every_size(spark, scores_per_range, odd):
+    df = spark.createDataFrame([(0.1, 0), (0.2, 1), (0.3, 0), (odd, 1)], "p double, y int")
+    with pytest.raises(Exception, match="without a score"):
+        curves.areas(df, scores_per_range=scores_per_range).collect()

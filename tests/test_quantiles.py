@@ -51,3 +51,10 @@ def test_order_statistics_count_ties(spark, few_bins):
     assert stats[5] == q.OrderStatistic(5.0, 5, 1)
     assert stats[9] == q.OrderStatistic(9.0, 6, 4)
     assert 10 not in stats
+
+
+def test_infinite_and_huge_values_end(spark, few_bins):
+    values = [float("-inf"), -1.7e308, -1.0, 0.0, 1.0, 2.0, 1.7e308, float("inf")] * 4
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    stats = q.order_statistics(df, {"x": "x"}, {"x": list(range(len(values)))})["x"]
+    assert [stats[k].value for k in range(len(values))] == sorted(values)

@@ -98,3 +98,24 @@ def test_reports(spark):
     bad = reports.write_csv(importance.drop("label"), scratch_path(spark, "imp"))
     with pytest.raises(DataValidationError):
         reports.read_importance(spark, bad)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_an_absent_column_raises(spark, clients, fmt):
+    path = scratch_path(spark, "absent")
+    c.to_raw(clients).drop(c.CANONICAL_TO_RAW["limit_bal"]).write.format(fmt).save(path)
+    with pytest.raises(ValueError, match=c.CANONICAL_TO_RAW["limit_bal"]):
+        c.load_clients(spark, path, fmt)
+
+
+def test_csv_columns_are_taken_by_name(spark, clients):
+    raw = c.to_raw(clients)
+    swapped = raw.select(*reversed(raw.columns))
+    path = scratch_path(spark, "swapped")
+    swapped.coalesce(1).write.option("header", True).csv(path)
+    assert sorted(c.load_clients(spark, path, "csv").collect()) == sorted(clients.select(*c.load_clients(spark, path, "csv").columns).collect())
+    for changed, message in ((raw.withColumnRenamed(raw.columns[3], "other"), raw.columns[3]), (raw.withColumn("more", raw[raw.columns[0]]), "more")):
+        path = scratch_path(spark, "changed")
+        changed.write.option("header", True).csv(path)
+        with pytest.raises(ValueError, match=message):
+            c.load_clients(spark, path, "csv")
