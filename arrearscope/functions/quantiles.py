@@ -23,10 +23,6 @@ from arrearscope.functions.scalars import name, number
 BINS = 1024
 #: Largest finite double.
 LARGEST = sys.float_info.max
-#: Row count up to which the built-in ``percentile`` is cheap enough.
-SMALL_ROWS = 20_000
-#: Ranges with at most this many rows together are finished by listing values.
-LISTED_ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -84,18 +80,14 @@ def _bin_cells(value: str, ranges: list[Range]) -> str:
     return f"CASE {' '.join(cases)} END"
 
 
-def _range_cells(value: str, ranges: list[Range]) -> str:
-    return f"CASE {' '.join(f'WHEN {_within(value, r)} THEN {i}' for i, r in enumerate(ranges))} END"
-
-
-def _long(df: DataFrame, columns: dict[str, str], open_ranges: dict[str, list[Range]], cells) -> DataFrame:
+def _long(df: DataFrame, columns: dict[str, str], open_ranges: dict[str, list[Range]]) -> DataFrame:
     """(column number, cell, value) rows; rows outside every range are dropped."""
     entries = []
     for j, c in enumerate(columns):
         if c in open_ranges:
             value = f"cast({columns[c]} AS double)"
             entries.append(
-                f"named_struct('j', {j}, 'cell', {cells(value, open_ranges[c])}, 'value', {value})"
+                f"named_struct('j', {j}, 'cell', {_bin_cells(value, open_ranges[c])}, 'value', {value})"
             )
     return df.selectExpr(f"inline(array({', '.join(entries)}))").filter("cell IS NOT NULL")
 
@@ -103,7 +95,7 @@ def _long(df: DataFrame, columns: dict[str, str], open_ranges: dict[str, list[Ra
 def _count_bins(df, columns, open_ranges) -> dict[str, list[Range]]:
     names = list(columns)
     counted = (
-        _long(df, columns, open_ranges, _bin_cells)
+        _long(df, columns, open_ranges)
         .groupBy("j", "cell")
         .agg(F.expr("count(*) AS rows"), F.expr("min(value) AS low"), F.expr("max(value) AS high"))
     )
@@ -123,23 +115,6 @@ def _count_bins(df, columns, open_ranges) -> dict[str, list[Range]]:
     return narrowed
 
 
-def _list_values(df, columns, open_ranges) -> dict[str, list[Range]]:
-    """Every (value, rows) of ranges that together hold at most LISTED_ROWS rows."""
-    names = list(columns)
-    counted = (
-        _long(df, columns, open_ranges, _range_cells)
-        .groupBy("j", "cell", "value")
-        .agg(F.expr("count(*) AS rows"))
-    )
-    listed: dict[str, list[Range]] = {c: [] for c in open_ranges}
-    below = {(names.index(c), i): r.below for c, rs in open_ranges.items() for i, r in enumerate(rs)}
-    for r in sorted(counted.collect(), key=lambda r: (r["j"], r["cell"], r["value"])):
-        key = (r["j"], r["cell"])
-        listed[names[r["j"]]].append(Range(r["value"], r["value"], below[key], r["rows"]))
-        below[key] += r["rows"]
-    return listed
-
-
 def order_statistics(
     df: DataFrame,
     columns: dict[str, str],
@@ -148,9 +123,12 @@ def order_statistics(
 ) -> dict[str, dict[int, OrderStatistic]]:
     """Exact values at 0-based ranks of the non-null values of each expression.
 
-    Ranks outside a column's row count are left out of the result.
+    Ranks outside a column's row count are left out of the result. NaN has no place
+    in the order and raises; infinite values are ordinary ends. One way at every size.
     """
     extent = extent or extent_of(df, columns)
+    if unordered := [c for c, r in extent.items() if r.rows and math.isnan(r.high)]:
+        raise ValueError(f"NaN in columns {unordered}")
     wanted = {c: sorted({k for k in ranks[c] if 0 <= k < r.rows}) for c, r in extent.items()}
     ranges = {c: [extent[c]] for c in columns if wanted[c]}
     done: dict[str, dict[int, OrderStatistic]] = {c: {} for c in columns}
@@ -172,10 +150,7 @@ def order_statistics(
         if open_ranges == before:
             raise ArithmeticError(f"a pass did not narrow the ranges {open_ranges}")
         before = open_ranges
-        if sum(r.rows for rs in open_ranges.values() for r in rs) <= LISTED_ROWS:
-            ranges = _list_values(df, columns, open_ranges)
-        else:
-            ranges = _count_bins(df, columns, open_ranges)
+        ranges = _count_bins(df, columns, open_ranges)
 
 
 def positions(n: int, q: float) -> tuple[int, int, float]:
@@ -195,27 +170,16 @@ def as_doubles(columns) -> dict[str, str]:
     return {c: f"cast({sql} AS double)" for c, sql in columns.items()}
 
 
-def builtin_quantiles(df: DataFrame, columns, quantiles: list[float]) -> dict[str, list[float | None]]:
-    """The same by the built-in aggregate, for tables of a checked small size."""
-    levels = ", ".join(number(float(q)) for q in quantiles)
-    exprs = [f"percentile({sql}, array({levels})) AS q{i}" for i, sql in enumerate(as_doubles(columns).values())]
-    row = df.selectExpr(*exprs).first()
-    return {c: list(v) if v else [None] * len(quantiles) for c, v in zip(columns, row)}
-
-
 def exact_quantiles(
     df: DataFrame,
     columns: dict[str, str] | list[str] | tuple[str, ...],
     quantiles: list[float],
-    small_rows: int = SMALL_ROWS,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each column, nulls skipped.
 
     ``columns`` names columns, or maps names to SQL expressions. Equal to
     ``percentile``; an empty column gives None.
     """
-    if df.count() <= small_rows:
-        return builtin_quantiles(df, columns, quantiles)
     sql = as_doubles(columns)
     extent = extent_of(df, sql)
     ranks = {c: [k for q in quantiles for k in positions(r.rows, q)[:2]] for c, r in extent.items()}

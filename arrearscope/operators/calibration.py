@@ -11,7 +11,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrearscope.functions.quantiles import SMALL_ROWS, exact_quantiles
+from arrearscope.functions.quantiles import exact_quantiles
 from arrearscope.functions.scalars import bounded, name, number, sigmoid
 from arrearscope.operators.curves import score_counts
 from arrearscope.operators.metrics import squared_error
@@ -120,14 +120,14 @@ def calibration_gain(df: DataFrame, raw: str, calibrated: str, label: str = "y")
 
 
 def reliability(
-    df: DataFrame, score: str = "p", label: str = "y", bins: int = RELIABILITY_BINS, small_rows: int = SMALL_ROWS
+    df: DataFrame, score: str = "p", label: str = "y", bins: int = RELIABILITY_BINS
 ) -> DataFrame:
     """Mean prediction and observed rate per quantile bin; empty bins vanish.
 
     A score belongs to the bin numbered by the inner edges strictly below it.
     """
     levels = [i / bins for i in range(1, bins)]
-    edges = exact_quantiles(df, [score], levels, small_rows)[score]
+    edges = exact_quantiles(df, [score], levels)[score]
     below = " + ".join(f"if({name(score)} > {number(e)}, 1, 0)" for e in edges)
     return (
         df.groupBy(F.expr(f"cast({below} AS int)").alias("bin"))

@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from statistics import fmean, pstdev
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arrearscope.functions.engineered import engineer
 from arrearscope.functions.labels import label_sql
-from arrearscope.functions.scalars import name, number, text
+from arrearscope.functions.scalars import name, number, seeded_hash, text
 from arrearscope.operators.cleaning import clean
 from arrearscope.operators.curves import areas
 from arrearscope.operators.scoring import RiskModel, decision, risk_tier, set_aside
 from arrearscope.roles import FEATURES, ROLES, SEED
-from arrearscope.session import written
+from arrearscope.session import tidy, written
 
 TOP_FACTORS = 8
 TOP_IMPORTANCES = 20
 REPEATS = 5
-#: Rows shuffled among each other by one task of the permutation.
-ROWS_PER_SLOT = 200_000
+#: Rows ranked by one task, about; any number gives the same ranks.
+ROWS_PER_RANGE = 200_000
 
 FACTOR_TYPE = "array<struct<feature:string,contribution:double>>"
 
@@ -43,40 +45,36 @@ def top_importances(importance: DataFrame, n: int = TOP_IMPORTANCES) -> DataFram
     return importance.orderBy(F.desc("importance"), "feature").limit(n)
 
 
-def _circular_donors(df: DataFrame, repeats: int, seed: int) -> DataFrame:
-    """Append ``donors``: for each repeat, another row's features.
+def _ranked(rows: DataFrame, seed: str, parts: int) -> DataFrame:
+    """Append ``_rank``: the 0-based place in the order of (hash of seed and id, id, values).
 
-    Rows are dealt at random into slots and put in random order; the donor of
-    repeat r is the r-th next row, wrapping around inside the slot. That is a
-    permutation of the rows for every repeat, found with a single shuffle.
+    The hash is cut into equal ranges, which are ranked on their own and shifted by the
+    rows of lower ranges; the number of ranges does not change the order.
     """
-    rows = df.count()
-    slots = max(1, -(-rows // ROWS_PER_SLOT))
-    dealt = written(
-        df.withColumns({"_slot": F.floor(F.rand(seed) * slots).cast("int"), "_u": F.rand(seed + 1)}),
-        "permutation",
-    )
-    own = F.struct(*FEATURES)
-    order = Window.partitionBy("_slot").orderBy("_u")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    size = F.count("*").over(Window.partitionBy("_slot"))
-    firsts = F.array(*[F.nth_value(own, k).over(whole) for k in range(1, repeats + 1)])
-    placed = dealt.withColumns(
-        {
-            "_row": F.row_number().over(order),
-            "_size": size,
-            "_firsts": firsts,
-            "_next": F.array(*[F.lead(own, r).over(order) for r in range(1, repeats + 1)]),
-        }
-    )
+    h = seeded_hash(seed, ROLES.id)
+    placed = rows.selectExpr("*", f"{h} AS _h").selectExpr("*", f"cast(_h * {parts} DIV 4294967296 AS int) AS _part")
+    totals = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    order = Window.partitionBy("_part").orderBy("_h", ROLES.id, *FEATURES, "y")
+    ranked = placed.join(offsets, "_part").withColumn("_rank", F.col("_before") + F.row_number().over(order) - 1)
+    return ranked.drop("_h", "_part", "_before")
 
-    def wrapped(r: int) -> Column:
-        position = ((F.col("_row") + (r - 1)) % F.col("_size")).cast("int")
-        return F.coalesce(F.get("_next", F.lit(r - 1)), F.get("_firsts", position))
 
-    return placed.withColumn("donors", F.array(*[wrapped(r) for r in range(1, repeats + 1)])).drop(
-        "_slot", "_u", "_row", "_size", "_firsts", "_next"
-    )
+def _donors(df: DataFrame, repeats: int, seed: int) -> DataFrame:
+    """Append ``donors``: for each repeat, the features of the row at the same place in another order.
+
+    Orders follow from hashes of seed, repeat and id, so donors do not depend on the
+    layout of the table, and each repeat is a permutation of all rows.
+    """
+    rows = written(df.select(ROLES.id, *FEATURES, "y"), "permutation-rows")
+    parts = 1 + rows.count() // ROWS_PER_RANGE
+    placed = _ranked(rows, f"{seed}:0", parts)
+    for r in range(1, repeats + 1):
+        other = _ranked(rows, f"{seed}:{r}", parts)
+        placed = placed.join(other.select("_rank", F.struct(*FEATURES).alias(f"_donor_{r}")), "_rank")
+    given = [f"_donor_{r}" for r in range(1, repeats + 1)]
+    return placed.withColumn("donors", F.array(*given)).drop("_rank", *given)
 
 
 def permutation_importance(
@@ -89,35 +87,28 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean and std of the ROC-AUC drop when a raw column is permuted.
 
-    Every row is fanned out into one variant per feature and repeat plus the
-    unchanged row; all variants are scored in one pass and the areas come from
-    one grouped curve. Uses the uncalibrated probability.
+    Feature by feature, every row becomes one variant per repeat that takes the
+    donors' value of that column only; the areas of all repeats come from one grouped
+    curve, whose scores are dropped before the next feature. Uses the uncalibrated
+    probability.
     """
-    donors = _circular_donors(df.select(*FEATURES, F.col(target).alias("y")), repeats, seed)
-    variants = [("", 0), *[(f, r) for f in features for r in range(1, repeats + 1)]]
-    pairs = ", ".join(f"named_struct('feature', {text(f)}, 'turn', {r})" for f, r in variants)
-    fanned = donors.selectExpr("*", f"inline(array({pairs})) AS (permuted, turn)")
-    swapped = fanned.selectExpr(
-        "permuted",
-        "turn",
-        "y",
-        *[
-            f"if(permuted = {text(c)}, get(donors, turn - 1).{name(c)}, {name(c)}) AS {name(c)}"
-            if c in features
-            else name(c)
-            for c in FEATURES
-        ],
-    )
-    by_variant = areas(model.raw_probability(swapped, "p").select("permuted", "turn", "y", "p"), by=("permuted", "turn"))
-    # one row per variant from here on
-    baseline = F.max(F.when(F.col("permuted") == "", F.col("roc_auc"))).over(Window.partitionBy())
-    drops = by_variant.withColumn("_drop", baseline - F.col("roc_auc")).filter("permuted <> ''")
-    return (
-        drops.groupBy(F.col("permuted").alias("feature"))
-        .agg(F.avg("_drop").alias("importance_mean"), F.stddev_pop("_drop").alias("importance_std"))
-        .withColumn("label", F.expr(label_sql("feature")))
-        .orderBy(F.desc("importance_mean"), "feature")
-    )
+    spark = df.sparkSession
+    found = []
+    with tidy(spark):
+        placed = written(_donors(df.select(ROLES.id, *FEATURES, F.col(target).alias("y")), repeats, seed), "permutation")
+
+        def area(rows: DataFrame, *by: str) -> list[float | None]:
+            with tidy(spark):  # a row per repeat
+                return [r["roc_auc"] for r in areas(model.raw_probability(rows, "p").select(*by, "y", "p"), by=by).collect()]
+
+        [baseline] = area(placed.drop("donors"))
+        for c in features:
+            others = [name(f) for f in FEATURES if f != c]
+            turns = placed.selectExpr("y", *others, f"posexplode(transform(donors, d -> d.{name(c)})) AS (turn, {name(c)})")
+            drops = [baseline - a for a in area(turns, "turn") if a is not None and baseline is not None]
+            found.append((c, fmean(drops) if drops else None, pstdev(drops) if drops else None))
+    importance = spark.createDataFrame(found, "feature string, importance_mean double, importance_std double")
+    return importance.withColumn("label", F.expr(label_sql("feature"))).orderBy(F.desc("importance_mean"), "feature")
 
 
 # -- per client ----------------------------------------------------------------------
@@ -163,38 +154,45 @@ def ablation_contributions(model: RiskModel, df: DataFrame, top_k: int = TOP_FAC
     """Change of the calibrated probability when one feature is reset.
 
     Each row becomes 22 variants (unchanged, and one per feature at its training
-    median). Rows are spread by a row key before the fan-out, so the variants of
-    a row stay in their task and are put together again without a second
-    shuffle; equal or frequent ids do not gather anywhere.
+    median). Rows are spread by a hash of their values before the fan-out, so the
+    variants of a row stay in their task and are put together again without a second
+    shuffle. Equal rows are counted map-side, explained once and listed as often as
+    they stand; a repeated task finds the same keys.
     """
     reference = model.prep.reference
     if not reference:
         empty = F.array().cast(FACTOR_TYPE)
         return model.probability(df).withColumns({"risk_increasing": empty, "protective": empty})
     packed = df.selectExpr(*FEATURES, set_aside(df.columns))
-    keyed = clean(packed).withColumn("_row", F.monotonically_increasing_id()).repartition("_row")
+    row = F.md5(F.to_json("_in", {"ignoreNullFields": "false"})).alias("_row")
+    keyed = clean(packed).groupBy(row).agg(F.first(F.struct("_in", *FEATURES)).alias("_one"), F.count("*").cast("int").alias("_copies"))
+    keyed = keyed.selectExpr("_row", "_copies", "_one.*")
     resets = ", ".join(text(c) for c in ("", *FEATURES))
     reset = keyed.selectExpr("*", f"explode(array({resets})) AS _reset").selectExpr(
         "_row",
         "_reset",
         "if(_reset = '', _in, NULL) AS _in",
+        "if(_reset = '', _copies, NULL) AS _copies",
         *[
             f"if(_reset = {text(c)}, {number(float(reference[c]))}, cast({name(c)} AS double)) AS {name(c)}"
             for c in FEATURES
         ],
     )
-    scored = model.probability(reset, "_p", cleaned=True, keep=("_row", "_reset")).select("_row", "_reset", "_in", "_p")
+    scored = model.probability(reset, "_p", cleaned=True, keep=("_row", "_reset")).select("_row", "_reset", "_in", "_copies", "_p")
     gathered = scored.groupBy("_row").agg(
         F.expr("first(_in, true) AS _in"),
+        F.expr("max(_copies) AS _copies"),
         F.expr("max(if(_reset = '', _p, NULL)) AS default_probability"),
         F.expr("collect_list(if(_reset <> '', struct(_reset AS feature, _p AS p), NULL)) AS _variants"),
     )
     change = "bround(default_probability - v.p, 4)"
     factors = f"transform(_variants, v -> struct({label_sql('v.feature')} AS feature, {change} AS contribution))"
     up, down = _strongest("_factors", top_k)
-    return gathered.selectExpr("_in", "default_probability", f"{factors} AS _factors").selectExpr(
-        "_in.*", "default_probability", f"{up} AS risk_increasing", f"{down} AS protective"
+    listed = gathered.selectExpr("_in", "default_probability", "_copies", f"{factors} AS _factors").selectExpr(
+        "_in", "default_probability", f"{up} AS risk_increasing", f"{down} AS protective", "_copies"
     )
+    again = listed.selectExpr("*", "explode(array_repeat(0, _copies)) AS _copy")
+    return again.selectExpr("_in.*", "default_probability", "risk_increasing", "protective")
 
 
 def explained(model: RiskModel, df: DataFrame, top_k: int = TOP_FACTORS) -> DataFrame:

@@ -26,7 +26,7 @@ from arrearscope.operators.curves import areas
 from arrearscope.operators.preparation import Preprocessor
 from arrearscope.operators.splitting import with_fold
 from arrearscope.roles import POLICY, ROLES, SEED
-from arrearscope.session import written
+from arrearscope.session import tidy, written
 
 # Simplicity rank (lower is simpler), search space and budget.
 COMPLEXITY = {
@@ -204,7 +204,8 @@ class AveragePrecisionEvaluator(Evaluator):
         scores = dataset.select(
             vector_to_array("probability")[1].alias("p"), F.col(LABEL).cast("int").alias("y")
         )
-        value = areas(scores).first()["pr_auc"]
+        with tidy(dataset.sparkSession):
+            value = areas(scores).first()["pr_auc"]
         return float("nan") if value is None else float(value)
 
     def isLargerBetter(self) -> bool:

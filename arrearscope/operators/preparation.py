@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 
 from arrearscope.functions.engineered import ENGINEERED, engineer
 from arrearscope.functions.quantiles import (
-    SMALL_ROWS,
     as_doubles,
-    builtin_quantiles,
     exact_quantiles,
     extent_of,
     interpolated,
@@ -29,6 +27,8 @@ from arrearscope.operators.validation import require_columns
 from arrearscope.roles import CATEGORICAL, FEATURES, NUMERIC
 
 WINSOR = (0.01, 0.99)
+#: Levels of a categorical column beyond which fitting raises; each level is a model input.
+MOST_LEVELS = 1_000
 SCALED = (*NUMERIC, *ENGINEERED)
 
 
@@ -92,16 +92,16 @@ class Preprocessor:
         )
 
 
-def medians(df: DataFrame, columns, small_rows: int = SMALL_ROWS) -> dict[str, float]:
-    return {c: q[0] for c, q in exact_quantiles(df, columns, [0.5], small_rows).items()}
+def medians(df: DataFrame, columns) -> dict[str, float]:
+    return {c: q[0] for c, q in exact_quantiles(df, columns, [0.5]).items()}
 
 
 def imputed(df: DataFrame, fill: dict[str, float]) -> DataFrame:
     return df.selectExpr(*[f"coalesce(cast({name(c)} AS double), {number(m)}) AS {name(c)}" for c, m in fill.items()])
 
 
-def winsor_bounds(df: DataFrame, columns, small_rows: int = SMALL_ROWS) -> dict[str, list[float]]:
-    return exact_quantiles(df, columns, list(WINSOR), small_rows)
+def winsor_bounds(df: DataFrame, columns) -> dict[str, list[float]]:
+    return exact_quantiles(df, columns, list(WINSOR))
 
 
 def clipped(df: DataFrame, bounds: dict[str, list[float]]) -> DataFrame:
@@ -192,20 +192,15 @@ def _original_rank(k: int, lower_middle: int, inserted: int) -> int | None:
     return None if k <= lower_middle + inserted else k - inserted
 
 
-def fit(train: DataFrame, small_rows: int = SMALL_ROWS) -> Preprocessor:
+def fit(train: DataFrame) -> Preprocessor:
     """Fit on the given rows: medians and bounds, then moments.
 
     Every step is a scan of the training rows that returns a few numbers per
-    column. A table of a checked small size takes the built-in percentile.
+    column.
     """
     full = engineer(train)
     columns = (*SCALED, *CATEGORICAL)
-    if train.count() <= small_rows:
-        fill = {c: q[0] for c, q in builtin_quantiles(full, columns, [0.5]).items()}
-        known = {c: fill[c] for c in SCALED if fill[c] is not None}
-        bounds = builtin_quantiles(imputed(full, known), list(known), list(WINSOR))
-    else:
-        fill, bounds = _medians_and_bounds(full, columns)
+    fill, bounds = _medians_and_bounds(full, columns)
     empty = sorted(c for c in SCALED if fill[c] is None)
     if empty:
         raise ValueError(f"no training value in columns {empty}")
@@ -216,8 +211,11 @@ def fit(train: DataFrame, small_rows: int = SMALL_ROWS) -> Preprocessor:
         c: Scaling(fill[c], *bounds[c], moments[f"{c}_mean"], moments[f"{c}_std"] or 1.0) for c in SCALED
     }
     levels, modes = {}, {}
-    for c in CATEGORICAL:  # a handful of codes each
-        counts = {r["level"]: r["n"] for r in level_counts(train, c).collect()}
+    for c in CATEGORICAL:
+        found = level_counts(train, c).limit(MOST_LEVELS + 1).collect()
+        if len(found) > MOST_LEVELS:
+            raise ValueError(f"column {c} has over {MOST_LEVELS} levels; it is no categorical column")
+        counts = {r["level"]: r["n"] for r in found}
         levels[c] = sorted(counts)
         modes[c] = max(counts, key=lambda v: (counts[v], -v))
     return Preprocessor(numeric, levels, modes, {c: fill[c] for c in FEATURES})

@@ -796,13 +796,11 @@ def x02(spark, sf):
 def _long_factors(df: DataFrame) -> DataFrame:
     """(id, direction, place, feature, contribution) from the two factor lists."""
     sides = [
-        df.selectExpr("id", f"'{side}' AS direction", f"posexplode({side}) AS (place, factor)")
+        f"transform({side}, (f, i) -> struct('{side}' AS direction, i + 1 AS place, f.feature AS feature, "
+        "f.contribution + 0D AS contribution))"
         for side in ("risk_increasing", "protective")
     ]
-    long = sides[0].unionByName(sides[1])
-    return long.selectExpr(
-        "id", "direction", "place + 1 AS place", "factor.feature", "factor.contribution + 0D AS contribution"
-    )
+    return df.selectExpr("id", f"inline(concat({', '.join(sides)}))")
 
 
 @query("x03_linear_contributions")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,10 +80,29 @@ def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if (passing := _passing.get()) is not None:
+        passing.append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+#: Tables of the innermost ``tidy`` of this thread.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Drop at the end what this thread wrote inside; read all results before."""
+    token = _passing.set([])
+    try:
+        yield
+    finally:
+        paths = _passing.get()
+        _passing.reset(token)
+        for path in paths:
+            drop_path(spark, path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -91,22 +91,34 @@ def test_importances(spark, prepared, card):
     assert x.top_importances(x.feature_importance(spark, tree)).count() == 20
 
 
-def test_donors_are_a_permutation_without_fixed_points(spark, monkeypatch):
-    monkeypatch.setattr(x, "ROWS_PER_SLOT", 40)
-    columns = ", ".join(f"cast(id AS double) AS {c}" for c in FEATURES)
-    df = spark.range(130).selectExpr("id", *columns.split(", "))
-    rows = x._circular_donors(df, 3, seed=1).collect()
-    assert len(rows) == 130
+def test_donors_are_a_permutation_at_any_layout(spark, monkeypatch):
+    columns = [f"cast(id AS double) AS {c}" for c in FEATURES]
+    df = spark.range(130).selectExpr("id", *columns, "0 AS y")
+    found = []
+    for rows_per_range, partitions in ((200_000, 1), (40, 4), (7, 16)):
+        monkeypatch.setattr(x, "ROWS_PER_RANGE", rows_per_range)
+        rows = x._donors(df.repartition(partitions), 3, seed=1).collect()
+        assert len(rows) == 130
+        found.append({r.id: [d["age"] for d in r.donors] for r in rows})
+    assert found[0] == found[1] == found[2]
     for turn in range(3):
-        given = [r.donors[turn]["age"] for r in rows]
-        assert sorted(given) == sorted(float(r.id) for r in rows)
-        assert all(g != r.id for g, r in zip(given, rows))
+        given = [d[turn] for d in found[0].values()]
+        assert sorted(given) == sorted(map(float, found[0]))
+        assert given != [d[turn - 1] for d in found[0].values()]
 
 
-def test_fewer_rows_than_repeats(spark):
-    df = spark.range(2).selectExpr("id", *[f"cast(id AS double) AS {c}" for c in FEATURES])
-    rows = {r.id: [d["age"] for d in r.donors] for r in x._circular_donors(df, 3, seed=1).collect()}
-    assert rows == {0: [1.0, 0.0, 1.0], 1: [0.0, 1.0, 0.0]}
+def test_importance_does_not_depend_on_the_layout_and_leaves_no_table(spark, card, prepared):
+    import os
+
+    from arrearscope.session import scratch_home
+
+    part = prepared.part("test")
+    before = set(os.listdir(scratch_home(spark)))
+    found = [
+        x.permutation_importance(card, part.repartition(n), features=("pay_0", "age"), repeats=2).collect() for n in (1, 4, 16)
+    ]
+    assert found[0] == found[1] == found[2]
+    assert set(os.listdir(scratch_home(spark))) == before
 
 
 def test_an_unused_column_has_no_importance(prepared):

@@ -110,9 +110,8 @@ def test_reliability_against_numpy(spark):
     df, y, p = levels(spark)
     edges = np.percentile(p, np.arange(10, 100, 10))
     bins = np.searchsorted(edges, p)
-    for small in (0, 10**6):
-        rows = {r.bin: r for r in calibration.reliability(df, small_rows=small).collect()}
-        assert set(rows) == set(bins)
-        for b in rows:
-            assert rows[b].mean_predicted == pytest.approx(p[bins == b].mean())
-            assert rows[b].observed_rate == pytest.approx(y[bins == b].mean())
+    rows = {r.bin: r for r in calibration.reliability(df).collect()}
+    assert set(rows) == set(bins)
+    for b in rows:
+        assert rows[b].mean_predicted == pytest.approx(p[bins == b].mean())
+        assert rows[b].observed_rate == pytest.approx(y[bins == b].mean())

@@ -7,9 +7,14 @@ from arrearscope.operators import preparation as p
 from arrearscope.roles import FEATURES
 
 
-def test_both_ways_of_fitting_agree(prepared):
-    train = prepared.part("train")
-    assert p.fit(train, small_rows=0) == p.fit(train)
+def test_fit_equals_the_builtin_percentile(prepared):
+    full = engineer(prepared.part("train"))
+    fill = p.medians(full, p.SCALED)
+    bounds = p.imputed(full, fill)
+    for c, scaling in prepared.prep.numeric.items():
+        row = full.selectExpr(f"percentile({c}, 0.5D)").first()
+        low, high = bounds.selectExpr(f"percentile({c}, array(0.01D, 0.99D))").first()[0]
+        assert (scaling.median, scaling.low, scaling.high) == pytest.approx((row[0], low, high))
 
 
 def test_imputed_ranks_with_many_missing_values(spark):

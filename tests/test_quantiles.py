@@ -10,7 +10,6 @@ LEVELS = [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0]
 def few_bins(monkeypatch):
     """Force several narrowing passes on small data."""
     monkeypatch.setattr(q, "BINS", 8)
-    monkeypatch.setattr(q, "LISTED_ROWS", 5)
 
 
 def columns():
@@ -29,17 +28,17 @@ def columns():
 def test_exact_on_every_shape(spark, few_bins):
     data = columns()
     df = spark.createDataFrame(list(zip(*[map(float, v) for v in data.values()])), list(data))
-    found = q.exact_quantiles(df, list(data), LEVELS, small_rows=0)
+    found = q.exact_quantiles(df, list(data), LEVELS)
     for c, values in data.items():
         assert found[c] == pytest.approx(np.quantile(values, LEVELS).tolist(), rel=1e-12, abs=1e-12), c
-    builtin = q.exact_quantiles(df, list(data), LEVELS)
+    levels = ", ".join(f"{x}D" for x in LEVELS)
+    builtin = df.selectExpr(*[f"percentile({c}, array({levels})) AS {c}" for c in data]).first()
     for c in data:
         assert found[c] == pytest.approx(builtin[c], rel=1e-12, abs=1e-12)
 
 
 def test_nulls_are_skipped_and_empty_columns_give_none(spark, few_bins):
     df = spark.createDataFrame([(1.0, None), (None, None), (3.0, None), (2.0, None)], "a double, b double")
-    assert q.exact_quantiles(df, ["a", "b"], [0.5], small_rows=0) == {"a": [2.0], "b": [None]}
     assert q.exact_quantiles(df, ["a", "b"], [0.5]) == {"a": [2.0], "b": [None]}
 
 
@@ -58,3 +57,16 @@ def test_infinite_and_huge_values_end(spark, few_bins):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     stats = q.order_statistics(df, {"x": "x"}, {"x": list(range(len(values)))})["x"]
     assert [stats[k].value for k in range(len(values))] == sorted(values)
+
+
+def test_nan_is_refused(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),)], "x double")
+    with pytest.raises(ValueError, match="NaN"):
+        q.exact_quantiles(df, ["x"], [0.5])
+
+
+def test_a_pass_that_does_not_narrow_raises(spark, monkeypatch):
+    df = spark.createDataFrame([(1.0,), (2.0,)], "x double")
+    monkeypatch.setattr(q, "_count_bins", lambda df, columns, ranges: ranges)
+    with pytest.raises(ArithmeticError, match="narrow"):
+        q.exact_quantiles(df, ["x"], [0.5])
