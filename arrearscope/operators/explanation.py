@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from statistics import fmean, pstdev
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -84,29 +86,40 @@ def permutation_importance(
     repeats: int = REPEATS,
     seed: int = SEED,
     target: str = ROLES.target,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Mean and std of the ROC-AUC drop when a raw column is permuted.
 
     Feature by feature, every row becomes one variant per repeat that takes the
     donors' value of that column only; the areas of all repeats come from one grouped
-    curve, whose scores are dropped before the next feature. Uses the uncalibrated
-    probability.
+    curve, whose scores are dropped before the next feature; ``parallelism`` features
+    are in work at a time. Uses the uncalibrated probability.
     """
     spark = df.sparkSession
-    found = []
     with tidy(spark):
         placed = written(_donors(df.select(ROLES.id, *FEATURES, F.col(target).alias("y")), repeats, seed), "permutation")
 
-        def area(rows: DataFrame, *by: str) -> list[float | None]:
+        # the variants are data, so the scoring code is generated once for all features
+        swapped = [
+            f"if(permuted = {text(c)}, get(donors, turn - 1).{name(c)}, {name(c)}) AS {name(c)}" if c in features else name(c)
+            for c in FEATURES
+        ]
+
+        def areas_of(permuted: str, turns: range) -> list[float | None]:
+            pairs = ", ".join(f"named_struct('permuted', {text(permuted)}, 'turn', {r})" for r in turns)
+            rows = placed.selectExpr("*", f"inline(array({pairs}))").selectExpr("turn", "y", *swapped)
             with tidy(spark):  # a row per repeat
-                return [r["roc_auc"] for r in areas(model.raw_probability(rows, "p").select(*by, "y", "p"), by=by).collect()]
-
-        [baseline] = area(placed.drop("donors"))
-        for c in features:
-            others = [name(f) for f in FEATURES if f != c]
-            turns = placed.selectExpr("y", *others, f"posexplode(transform(donors, d -> d.{name(c)})) AS (turn, {name(c)})")
-            drops = [baseline - a for a in area(turns, "turn") if a is not None and baseline is not None]
-            found.append((c, fmean(drops) if drops else None, pstdev(drops) if drops else None))
+                found = areas(model.raw_probability(rows, "p").select("turn", "y", "p"), by=("turn",)).collect()
+            return [r["roc_auc"] for r in found]
+
+        [baseline] = areas_of("", range(1))
+
+        def importance_of(c: str) -> tuple[str, float | None, float | None]:
+            drops = [baseline - a for a in areas_of(c, range(1, repeats + 1)) if None not in (a, baseline)]
+            return c, fmean(drops) if drops else None, pstdev(drops) if drops else None
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            found = list(pool.map(inheritable_thread_target(spark)(importance_of), features))
     importance = spark.createDataFrame(found, "feature string, importance_mean double, importance_std double")
     return importance.withColumn("label", F.expr(label_sql("feature"))).orderBy(F.desc("importance_mean"), "feature")
 
