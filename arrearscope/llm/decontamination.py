@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrearscope.llm.texts import ascii_lower, let, need, split_words
+from arrearscope.llm.texts import ascii_lower, free_name, let, need, split_words
 
 #: Anything but digits, letters a-z and characters beyond ASCII parts words.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -140,16 +140,18 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with hit documents cut down to their normalised words outside hits."""
+    spans = free_name(docs.columns, "_spans")
     found = scan(docs, benchmark, key, text).filter("n_hit > 0").select(
-        F.col(key).alias("_hit_key"), F.col("text_hash").alias("_hit_hash"), F.col("spans").alias("_spans")
+        F.col(key).alias("_hit_key"), F.col("text_hash").alias("_hit_hash"), F.col("spans").alias(spans)
     ).dropDuplicates(["_hit_key", "_hit_hash"])
     same = docs[key].eqNullSafe(found["_hit_key"]) & (F.xxhash64(docs[text]) == found["_hit_hash"])
     # what is kept lies between the end of one stretch and the start of the next
-    starts = F.concat(F.array(F.lit(0)), F.transform("_spans", lambda s: s["pos"] + s["len"]))
+    starts = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["pos"] + s["len"]))
 
     def outside(words: Column) -> Column:
-        ends = F.concat(F.transform("_spans", lambda s: s["pos"]), F.array(F.size(words)))
+        ends = F.concat(F.transform(spans, lambda s: s["pos"]), F.array(F.size(words)))
         return F.array_join(F.flatten(F.zip_with(starts, ends, lambda a, b: F.slice(words, a + 1, b - a))), " ")
 
-    cut = F.when(F.col("_spans").isNull(), F.col(f"`{text}`")).otherwise(let(words_of(F.col(f"`{text}`")), outside))
-    return docs.join(found, same, "left").withColumn(text, cut).select(*[F.col(f"`{c}`") for c in docs.columns])
+    body = docs[f"`{text}`"]
+    cut = F.when(F.col(spans).isNull(), body).otherwise(let(words_of(body), outside)).alias(text)
+    return docs.join(found, same, "left").select(*[cut if c == text else docs[f"`{c}`"] for c in docs.columns])

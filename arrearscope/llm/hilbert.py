@@ -15,7 +15,8 @@ is as many buckets.
 
 Law: ``rows``; shard sizes are at most one row apart. Defined results: nulls take
 the lowest level; ties on the curve are ordered by bucket, key and text; repeated
-rows get a slot each; an empty table gives no rows.
+rows get a slot each; an empty table gives no rows; columns named like the added
+ones give way to them.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, NumericType
 
-from arrearscope.llm.texts import let, need
+from arrearscope.llm.texts import let, need, without
 
 #: Bits per dimension: 32 levels.
 BITS = 5
@@ -122,15 +123,14 @@ def assign(
 ) -> DataFrame:
     """All columns, with ``curve`` (the index), ``shard`` and ``slot`` (from 0 in each shard)."""
     need(docs, key, text, *dimensions)
-    if clash := {"curve", "shard", "slot"} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"columns of these names are in the table: {sorted(clash)}")
+    kept = [F.col(f"`{c}`") for c in without(docs.columns, "curve", "shard", "slot")]
     rows = docs.count()
     if not rows:
         nothing = {"curve": F.lit(0).cast("long"), "shard": F.lit(0).cast("int"), "slot": F.lit(0).cast("long")}
-        return docs.withColumns(nothing)
+        return docs.select(*kept).withColumns(nothing)
     buckets = -(-rows // BUCKET_ROWS)
     placed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.struct(*kept).alias("row"),
         curve_index(quantise(docs, dimensions, bits), bits).alias("curve"),
         F.pmod(F.xxhash64(F.col(f"`{key}`"), F.lit(1)), F.lit(buckets)).alias("bucket"),
     )

@@ -16,7 +16,8 @@ Defined results: lines are parted by line feeds and compared as they are; lines
 without a word are never part of a passage and stay; rows equal in key and text are
 one document and stay alike; documents of one key are ordered by text hash; null
 keys come first; null and empty texts stay; a document may end with an empty text;
-other columns stay; an empty table gives no rows.
+other columns stay, those named like the added ones give way to them; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrearscope.llm.texts import let, need, split_words
+from arrearscope.llm.texts import free_name, let, need, split_words, without
 from arrearscope.session import written
 
 MIN_WORDS = 50
@@ -96,19 +97,24 @@ def _without(lines: Column, runs: Column) -> Column:
     return F.flatten(F.zip_with(starts, ends, lambda a, b: F.slice(lines, a + 1, b - a)))
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """All columns, the text without repeated passages, and ``n_lines``, ``n_removed``."""
-    if clash := {"n_lines", "n_removed"} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"columns of these names are in the table: {sorted(clash)}")
+def dedup(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    min_words: int = MIN_WORDS,
+    added: tuple[str, str] = ("n_lines", "n_removed"),
+) -> DataFrame:
+    """All columns, the text without repeated passages, and two counts named ``added``."""
     found = written(repeats(docs, key, text, min_words), "line-repeats")
-    found = found.select(F.col("key").alias("_key"), F.col("text_hash").alias("_hash"), F.col("runs").alias("_runs"))
-    body = F.col(f"`{text}`")
+    runs = free_name(docs.columns, "_runs")
+    found = found.select(F.col("key").alias("_key"), F.col("text_hash").alias("_hash"), F.col("runs").alias(runs))
+    body = docs[f"`{text}`"]
     same = docs[key].eqNullSafe(found["_key"]) & (F.xxhash64(docs[text]) == found["_hash"])
     lines = F.split(body, "\n")
-    cut = let(lines, lambda x: F.array_join(_without(x, F.col("_runs")), "\n"))
-    removed = F.aggregate("_runs", F.lit(0).cast("long"), lambda n, r: n + r["last"] - r["first"] + 1)
+    cut = let(lines, lambda x: F.array_join(_without(x, F.col(runs)), "\n"))
+    removed = F.aggregate(runs, F.lit(0).cast("long"), lambda n, r: n + r["last"] - r["first"] + 1)
     return docs.join(found, same, "left").select(
-        *[F.when(F.col("_runs").isNull(), body).otherwise(cut).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns],
-        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(removed, F.lit(0)).alias("n_removed"),
+        *[F.when(F.col(runs).isNull(), body).otherwise(cut).alias(c) if c == text else docs[f"`{c}`"] for c in without(docs.columns, *added)],
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias(added[0]),
+        F.coalesce(removed, F.lit(0)).alias(added[1]),
     )

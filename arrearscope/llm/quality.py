@@ -9,7 +9,8 @@ them in three-word windows that come again) and every rule of the table.
 
 Defined results: null and empty texts have no words, fail and are not kept; texts of
 fewer than three words have no repeated window; three words are compared by a 64-bit
-hash within a text; repeated rows get one result each; an empty table gives no rows.
+hash within a text; repeated rows get one result each; an empty table gives no rows;
+columns named like those that are added give way to them, ``keep`` keeps all.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrearscope.llm.texts import SPACE, free_name, let, need, split_words
+from arrearscope.llm.texts import SPACE, free_name, let, need, split_words, without
 
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
@@ -131,16 +132,20 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_r
 def score(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """All columns, with the measures, ``base_failed`` and ``kept``."""
     need(docs, text)
-    added = {*MEASURES, "base_failed", "kept"}
-    if clash := added & {c.lower() for c in docs.columns}:
-        raise ValueError(f"columns of these names are in the table: {sorted(clash)}")
+    others = without(docs.columns, *MEASURES, "base_failed", "kept")
     found = free_name(docs.columns, "_measures")
-    rows = docs.withColumn(found, measures(F.col(f"`{text}`")))
+    rows = docs.select(*[F.col(f"`{c}`") for c in others], measures(F.col(f"`{text}`")).alias(found))
     rows = rows.withColumns({m: F.col(found)[m] for m in MEASURES}).drop(found)
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
-    return rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+    return rows.withColumn("base_failed", _base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+
+
+def _base_failed() -> Column:
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
 
 
 def keep(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that pass, with their own columns only."""
-    return score(docs, text, rules).filter("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    need(docs, text)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    measured = docs.select(row, measures(F.col(f"`{text}`")).alias("_measures")).select("_row", "_measures.*")
+    return measured.filter(~_base_failed() & verdict(rules)).select("_row.*")

@@ -16,7 +16,7 @@ is lost. Equal fingerprints are one from the start.
 Defined results: null and empty texts have the fingerprint zero, linked like any
 other; texts of one or two words have one shingle; the identity of a row is its key
 and text hash, so equal rows are one document; null keys come last when the smallest
-is chosen; other columns are ignored; an empty table gives no rows.
+is chosen; other columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrearscope.llm.components import components
-from arrearscope.llm.texts import need
+from arrearscope.llm.texts import free_name, need
 from arrearscope.session import written
 
 SHINGLE = 3
@@ -131,7 +131,8 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row of each component: its smallest document, once."""
     chosen = link(docs, key, text, shingle).select("chosen_key", "chosen_hash").distinct()
-    rows = docs.withColumn("_hash", F.xxhash64(F.col(f"`{text}`")))
-    kept = rows.join(chosen, rows[key].eqNullSafe(chosen["chosen_key"]) & (rows["_hash"] == chosen["chosen_hash"]), "left_semi")
-    again = Window.partitionBy(F.col(f"`{key}`"), "_hash").orderBy(F.lit(0))
-    return kept.withColumn("_again", F.row_number().over(again)).filter("_again = 1").drop("_hash", "_again")
+    mark, number = free_name(docs.columns, "_hash"), free_name(docs.columns, "_again")
+    rows = docs.withColumn(mark, F.xxhash64(F.col(f"`{text}`")))
+    kept = rows.join(chosen, rows[key].eqNullSafe(chosen["chosen_key"]) & (rows[mark] == chosen["chosen_hash"]), "left_semi")
+    again = Window.partitionBy(F.col(f"`{key}`"), mark).orderBy(F.lit(0))
+    return kept.withColumn(number, F.row_number().over(again)).filter(F.col(number) == 1).drop(mark, number)

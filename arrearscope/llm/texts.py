@@ -36,6 +36,12 @@ def need(docs: DataFrame, *columns: str) -> None:
         raise ValueError(f"columns not in the table: {', '.join(absent)}")
 
 
+def without(columns: list[str], *added: str) -> list[str]:
+    """``columns`` but those that clash with columns an operator adds; these give way."""
+    taken = {a.lower() for a in added}
+    return [c for c in columns if c.lower() not in taken]
+
+
 def free_name(columns: list[str], wanted: str) -> str:
     """``wanted``, with underscores in front until no column has that name."""
     taken = {c.lower() for c in columns}

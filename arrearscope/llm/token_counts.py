@@ -11,7 +11,7 @@ r has the Zipf score -ln(r + 1). A character that no piece covers counts as its
 UTF-8 bytes, at a score ten below the lowest. Equal scores take fewer pieces.
 
 Defined results: null and empty texts count 0; rows stay as they are, repeated or
-not; other columns are kept, and the added ones must not clash with them.
+not; other columns are kept, those named like the added ones give way to them.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrearscope.llm.texts import need
+from arrearscope.llm.texts import need, without
 
 #: Word mark of the vocabulary, U+2581.
 MARK = "▁"
@@ -143,9 +143,7 @@ def _counter(path: str, text_at: int, names: list[str]):
 def count(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     """All columns but the text, with n_pretokens and n_tokens; no shuffle."""
     need(docs, text)
-    kept = [c for c in docs.columns if c != text]
-    if clash := {"n_pretokens", "n_tokens"} & {c.lower() for c in kept}:
-        raise ValueError(f"columns of these names are in the table: {sorted(clash)}")
+    kept = without(docs.columns, text, "n_pretokens", "n_tokens")
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string"))
     schema = rows.select(*[F.col(f"`{c}`") for c in kept], F.lit(0).cast("long").alias("n_pretokens"), F.lit(0).cast("long").alias("n_tokens")).schema
     return rows.mapInArrow(_counter(vocabulary, len(kept), schema.names), schema)

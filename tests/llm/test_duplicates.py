@@ -233,8 +233,9 @@ def test_rules_fail_on_what_is_missing(make_docs):
     assert quality.score(docs, rules=(rule,)).filter("kept").count() == 0
     assert [r["doc_id"] for r in quality.score(docs, rules=()).filter("kept").collect()] == [0]
     assert quality.keep(docs, rules=()).columns == docs.columns
-    with pytest.raises(ValueError, match="kept"):
-        quality.score(docs.withColumnRenamed("lang", "kept"))
+    clashing = docs.withColumnRenamed("lang", "kept").withColumnRenamed("source", "N_words")
+    assert [f.dataType.simpleString() for f in quality.score(clashing).schema if f.name.lower() in ("kept", "n_words")] == ["bigint", "boolean"]
+    assert quality.keep(clashing, rules=()).columns == clashing.columns
     assert quality.score(make_docs()).count() == 0
 
 

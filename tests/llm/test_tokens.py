@@ -7,12 +7,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer, models
 
-from arrearscope.llm import packing, token_counts, token_files
+from arrearscope.llm import hilbert, packing, token_counts, token_files
 from arrearscope.llm.encoding import Encoder
 from arrearscope.llm.queries import BYTE_END, BYTE_TOKENIZER, PIECES, WORD_END, WORD_TOKENIZER
 from arrearscope.session import scratch_path
@@ -182,7 +181,8 @@ def test_the_trie_starts_afresh_with_equal_counts(monkeypatch):
     assert first == list(token_counts.Trie(scores).counts(texts))
 
 
-def test_clashing_columns_are_refused(make_docs):
-    docs = make_docs("a").withColumnRenamed("source", "n_tokens")
-    with pytest.raises(ValueError, match="n_tokens"):
-        token_counts.count(docs, public_tokenizers.path(PIECES))
+def test_clashing_columns_give_way(make_docs):
+    docs = make_docs("a").withColumnRenamed("source", "n_tokens").withColumnRenamed("lang", "slot")
+    [row] = token_counts.count(docs, public_tokenizers.path(PIECES)).collect()
+    assert row["n_tokens"] == row["n_pretokens"] == 1 and "slot" in row
+    assert hilbert.assign(docs, ["n_chars"]).select("slot").collect() == [(0,)]
