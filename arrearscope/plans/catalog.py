@@ -657,8 +657,9 @@ def a18(spark, sf):
 
 @query("a19_saved_model_audit")
 def a19(spark, sf):
-    audited = training.audit_saved_model(scorecard_model(spark, sf), prepared(spark, sf).part("test"))
-    return rounded_doubles(audited.selectExpr("rule", "'test' AS split", *metrics.METRICS), keep=("threshold",))
+    path = bundle.save(spark, scorecard_model(spark, sf), scratch_path(spark, "model"))
+    audited = training.audit_stored_model(spark, path, panel(spark, sf))
+    return rounded_doubles(audited.select("rule", "split", *metrics.METRICS), keep=("threshold",))
 
 
 @query("a20_class_distribution")

@@ -7,7 +7,7 @@ from datetime import UTC, datetime
 from functools import cached_property
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from arrearscope.operators.calibration import brier_by_method, calibration_gain, fit_calibrator, pick_method
@@ -25,13 +25,14 @@ from arrearscope.operators.models import (
     training_frame,
     tune,
 )
-from arrearscope.operators.preparation import Preprocessor, fit
+from arrearscope.operators.preparation import Preprocessor, fit, medians
 from arrearscope.operators.scoring import RiskModel
 from arrearscope.operators.splitting import with_split
 from arrearscope.operators.thresholds import select_threshold
 from arrearscope.operators.validation import check
-from arrearscope.roles import POLICY, ROLES, SEED
+from arrearscope.roles import FEATURES, POLICY, ROLES, SEED, SENSITIVE, SPLIT_FRACTIONS
 from arrearscope.session import written
+from arrearscope.sources import bundle
 from arrearscope.sources.clients import fingerprint
 from arrearscope.sources.runs import new_run_id
 
@@ -52,6 +53,8 @@ class Prepared:
     prep: Preprocessor
 
     def part(self, split: str) -> DataFrame:
+        if split not in SPLIT_FRACTIONS:
+            raise ValueError(f"no split {split!r}; there are {', '.join(SPLIT_FRACTIONS)}")
         return self.table.filter(F.col("split") == split)
 
     @cached_property
@@ -133,6 +136,11 @@ class Training:
     audit: DataFrame
     disparity: DataFrame
     imbalance: DataFrame
+    quality: DataFrame
+
+
+def _values(row: Row, *left_out: str) -> dict[str, Any]:
+    return {k: v for k, v in row.asDict().items() if k not in left_out}
 
 
 def calibrate(prepared: Prepared, base: RiskModel) -> tuple[Any, DataFrame]:
@@ -155,7 +163,10 @@ def train(clients: DataFrame, budget: Budget = Budget(), seed: int = SEED) -> Tr
 
     Only parameters, metric rows and model objects reach the driver.
     """
-    report = check(clients).first()
+    # three passes follow, over files and not over what the caller's table is made of
+    clients = written(clients, "clients-read")
+    quality = written(check(clients), "quality")
+    report = quality.first()
     mark = fingerprint(clients).first()["fingerprint"]
     prepared = prepare(clients, seed)
 
@@ -179,10 +190,11 @@ def train(clients: DataFrame, budget: Budget = Budget(), seed: int = SEED) -> Tr
     )
     family = select_final(candidates).first()["model"].removeprefix("tuned_")
     winner = tuned[family]
-    imbalance = compare_imbalance(prepared, family, winner.params, seed)
+    imbalance = written(compare_imbalance(prepared, family, winner.params, seed), "imbalance")
 
     base = RiskModel(prepared.prep, winner.model)
     calibrator, briers = calibrate(prepared, base)
+    briers = written(briers, "briers")
     calibrated = RiskModel(prepared.prep, winner.model, calibrator)
     on_validation = calibrated.probability(prepared.part("validation"), "p")
     threshold = select_threshold(on_validation, "p", ROLES.target).first().asDict()
@@ -190,13 +202,19 @@ def train(clients: DataFrame, budget: Budget = Budget(), seed: int = SEED) -> Tr
 
     test_raw = base.raw_probability(prepared.part("test"), "raw_p")
     test_scores = written(calibrator.apply(test_raw, "raw_p", "p"), "test-scores")
-    test_metrics = metrics(test_scores, approve, label=ROLES.target)
-    audited = audit(test_scores, approve, "p", ROLES.target)
+    test_metrics = written(metrics(test_scores, approve, label=ROLES.target), "test-metrics")
+    audited = written(audit(test_scores, approve, "p", ROLES.target), "audit")
 
     values = test_metrics.first().asDict()
+    by_model = {r["model"]: _values(r, "model") for r in compared.collect()}
+    sizes = {r["split"]: r["count"] for r in prepared.table.groupBy("split").count().collect() if r["split"]}
+    run_id = new_run_id()
+    # the names are fixed: readers of the stored metadata look them up
     metadata = {
         "model_name": family,
-        "model_version": f"{PROJECT_VERSION}+{new_run_id()}",
+        "model_version": f"{PROJECT_VERSION}+{run_id}",
+        "project_version": PROJECT_VERSION,
+        "run_id": run_id,
         "trained_at": datetime.now(UTC).isoformat(),
         "random_seed": seed,
         "class_weight": winner.params.get("class_weight") or "none",
@@ -206,15 +224,26 @@ def train(clients: DataFrame, budget: Budget = Budget(), seed: int = SEED) -> Tr
             "n_features": report["n_features"],
             "default_rate": report["default_rate"],
         },
+        "split_sizes": sizes,
+        "feature_columns": list(FEATURES),
+        "reference_values": medians(prepared.part("train"), FEATURES),
+        "sensitive_columns_excluded": list(SENSITIVE),
         "best_hyperparameters": {f: t.params for f, t in tuned.items()},
-        "calibration": {"method": calibrator.method},
+        "baseline_validation_metrics": {m: v for m, v in by_model.items() if not m.startswith("tuned_")},
+        "tuned_validation_metrics": {m.removeprefix("tuned_"): v for m, v in by_model.items() if m.startswith("tuned_")},
+        "imbalance_comparison_validation_pr_auc": {r["strategy"]: r["pr_auc"] for r in imbalance.collect()},
+        "calibration": {
+            "method": calibrator.method,
+            "validation_brier_by_method": {r["method"]: r["brier_score"] for r in briers.collect()},
+            "test_brier": values["brier_score"],
+        },
         "threshold": threshold,
         "test_metrics": values,
     }
     model = RiskModel(prepared.prep, winner.model, calibrator, approve, POLICY.decline_threshold, metadata)
     return Training(
         prepared, model, family, tuned, compared, briers, threshold, test_scores, test_metrics,
-        audited, disparity(audited), imbalance,
+        audited, disparity(audited), imbalance, quality,
     )
 
 
@@ -236,5 +265,21 @@ def audit_saved_model(model: RiskModel, part: DataFrame, target: str = ROLES.tar
     return rows.select(F.explode(F.array_compact(rules)).alias("rule"), "*")
 
 
+def audit_stored_model(spark: SparkSession, path: str, clients: DataFrame, split: str = "test") -> DataFrame:
+    """``audit_saved_model`` from a model's folder and a raw client table.
+
+    The split is drawn again as the model's training drew it, by the stored seed;
+    a name that is no split raises before anything runs.
+    """
+    if split not in SPLIT_FRACTIONS:
+        raise ValueError(f"no split {split!r}; there are {', '.join(SPLIT_FRACTIONS)}")
+    model = bundle.load(spark, path)
+    source = written(clean(clients), "clients")
+    table = with_split(source, seed=model.metadata.get("random_seed", SEED))
+    rows = audit_saved_model(model, table.filter(F.col("split") == split))
+    version = F.lit(model.metadata.get("model_version", "unknown"))
+    return rows.select("*", F.lit(split).alias("split"), version.alias("model_version"))
+
+
 def calibration_effect(test_scores: DataFrame, target: str = ROLES.target) -> DataFrame:
     return calibration_gain(test_scores, "raw_p", "p", target)

@@ -1,7 +1,12 @@
+import json
+
+import pytest
+
 from arrearscope.operators.exploration import schema_listing
+from arrearscope.plans import storing
 from arrearscope.plans import training as t
 from arrearscope.roles import CLIENT_SCHEMA
-from arrearscope.sources import bundle, runs
+from arrearscope.sources import bundle, reports, runs
 from arrearscope.session import scratch_path
 
 
@@ -35,15 +40,37 @@ def test_whole_flow(spark, clients):
     assert audited["operating"].roc_auc == test.roc_auc
     assert audited["f1_optimal"].f1 >= audited["operating"].f1 - 1e-12
 
-    log = scratch_path(spark, "runs")
-    meta = done.model.metadata
-    row = runs.run_row(
-        spark, done.selected, meta["test_metrics"], {"threshold": done.model.approve_threshold},
-        meta["dataset"]["fingerprint"], {"features": done.prepared.prep.names}, {"model": path},
-        {"model_version": meta["model_version"]},
-    )
-    runs.append_run(row, log)
-    assert runs.best_run(runs.read_runs(spark, log)).first().model_name == done.selected
+    folder, log = scratch_path(spark, "run"), scratch_path(spark, "runs")
+    made = storing.store(done, folder, log, repeats=1)
+    assert {f"fairness_{a}" for a in ("sex", "marriage", "age_band")} < set(made)
+    meta = json.loads(spark.read.text(made["metadata"]).first()[0])
+    assert sum(meta["split_sizes"].values()) == meta["dataset"]["n_rows"]
+    assert set(meta["baseline_validation_metrics"]) == {"DummyClassifier", "LogisticRegression", "DecisionTree"}
+    assert set(meta["tuned_validation_metrics"]) == {"LogisticRegression", "RandomForest"}
+    assert set(meta["calibration"]["validation_brier_by_method"]) == {"sigmoid", "isotonic"}
+    assert meta["calibration"]["test_brier"] == test.brier_score
+    assert len(meta["reference_values"]) == len(meta["feature_columns"]) == 21
+    assert spark.read.json(made["test_metrics"]).first().roc_auc == test.roc_auc
+    assert spark.read.json(made["fairness_audit"]).count() == done.audit.count()
+    assert spark.read.json(made["data_quality_report"]).first().n_rows == meta["dataset"]["n_rows"]
+    assert json.loads(spark.read.text(made["threshold_selection"]).first()[0])["operating_threshold"] == done.model.approve_threshold
+    assert reports.read_importance(spark, made["feature_importance"]).count() == len(done.prepared.prep.names)
+    assert spark.read.option("header", True).csv(made["permutation_importance"]).count() == 21
+    best = runs.best_run(runs.read_runs(spark, log)).first()
+    assert (best.model_name, best.run_id) == (done.selected, meta["run_id"])
+    info = bundle.model_info(spark, bundle.load(spark, made["model"])).first()
+    assert None not in info and info.test_metrics["roc_auc"] == test.roc_auc
+
+    again = {r.rule: r for r in t.audit_stored_model(spark, made["model"], clients).collect()}
+    assert again["operating"].roc_auc == test.roc_auc
+    assert again["operating"].model_version == meta["model_version"]
+
+
+def test_unknown_split_is_refused(spark, clients, prepared):
+    with pytest.raises(ValueError, match="no split"):
+        prepared.part("holdout")
+    with pytest.raises(ValueError, match="no split"):
+        t.audit_stored_model(spark, "nowhere", clients, "holdout")
 
 
 def test_schema_listing(clients):
