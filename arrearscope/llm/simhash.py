@@ -130,9 +130,12 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row of each component: its smallest document, once."""
-    chosen = link(docs, key, text, shingle).select("chosen_key", "chosen_hash").distinct()
-    mark, number = free_name(docs.columns, "_hash"), free_name(docs.columns, "_again")
-    rows = docs.withColumn(mark, F.xxhash64(F.col(f"`{text}`")))
-    kept = rows.join(chosen, rows[key].eqNullSafe(chosen["chosen_key"]) & (rows[mark] == chosen["chosen_hash"]), "left_semi")
-    again = Window.partitionBy(F.col(f"`{key}`"), mark).orderBy(F.lit(0))
-    return kept.withColumn(number, F.row_number().over(again)).filter(F.col(number) == 1).drop(mark, number)
+    # one column, equal also where the key is null, so one shuffle of the texts serves the join and the
+    # window; coalesce() says that hashes are never null, as on the other side, else the types differ
+    hashed = F.coalesce("chosen_hash", F.lit(0).cast("long")).alias("chosen_hash")
+    chosen = link(docs, key, text, shingle).select(F.struct("chosen_key", hashed).alias("_chosen")).distinct()
+    me, number = free_name(docs.columns, "_me"), free_name(docs.columns, "_again")
+    rows = docs.withColumn(me, F.struct(F.col(f"`{key}`").alias("chosen_key"), F.xxhash64(F.col(f"`{text}`")).alias("chosen_hash")))
+    kept = rows.join(chosen, rows[me] == chosen["_chosen"], "left_semi")
+    again = Window.partitionBy(me).orderBy(F.lit(0))
+    return kept.withColumn(number, F.row_number().over(again)).filter(F.col(number) == 1).drop(me, number)
