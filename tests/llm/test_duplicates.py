@@ -283,3 +283,15 @@ def test_shards_prune(small_docs):
 def test_digest_of_no_item(spark):
     rows = QUERIES["op3_decontamination"](spark, "/root/testdata/sf0.001").filter("n_items = 0").limit(1).collect()
     assert all(r["items_sha256"] == hashlib.sha256(b"").hexdigest() for r in rows)
+
+
+def test_grid_cells_are_points_one_step_away(spark):
+    def counts(value, ones):
+        return tuple(bin(value >> i & 3).count("1") if ones else value >> i & 3 for i in range(0, 64, 2))
+
+    values = [0, -1, 1 << 62, -(1 << 63), 0x1B1B1B1B1B1B1B1B, -0x123456789ABCDEF]
+    points = spark.createDataFrame([(v,) for v in values], "fp long").select("fp", simhash.segment_counts(F.col("fp")).alias("point"))
+    for row in points.select("fp", simhash._cells("point").alias("cells")).collect():
+        here = counts(row.fp % 2**64, True)
+        steps = {here[:i] + (c + d,) + here[i + 1 :] for i, c in enumerate(here) for d in (-1, 1) if 0 <= c + d <= 2}
+        assert sorted(counts(c % 2**64, False) for c in row.cells) == sorted({here, *steps})
