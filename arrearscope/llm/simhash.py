@@ -23,7 +23,7 @@ is chosen; other columns are ignored, whatever their names; an empty table gives
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -126,9 +126,14 @@ def links(distinct: DataFrame) -> DataFrame:
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(key, text_hash, fp, chosen_key, chosen_hash) per row: the smallest document of its component."""
     rows = written(fingerprints(docs, key, text, shingle), "simhash")
+    return choose(rows, links)
+
+
+def choose(rows: DataFrame, edges: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``rows`` (key, text_hash, fp) with the smallest document of each component that ``edges`` draws between distinct fp."""
     me = F.struct(F.col("key").isNull().alias("n"), "key", "text_hash")
     distinct = written(rows.groupBy("fp").agg(F.min(me).alias("least")), "simhash-distinct")
-    roots = components(links(distinct.select("fp")))
+    roots = components(edges(distinct.select("fp")))
     placed = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     placed = written(placed, "simhash-roots")
     chosen = placed.groupBy("root").agg(F.min("least").alias("chosen"))
@@ -138,10 +143,15 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row of each component: its smallest document, once."""
+    return keep_chosen(docs, link(docs, key, text, shingle), key, text)
+
+
+def keep_chosen(docs: DataFrame, linked: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that are chosen in ``linked``, once each."""
     # one column, equal also where the key is null, so one shuffle of the texts serves the join and the
     # window; coalesce() says that hashes are never null, as on the other side, else the types differ
     hashed = F.coalesce("chosen_hash", F.lit(0).cast("long")).alias("chosen_hash")
-    chosen = link(docs, key, text, shingle).select(F.struct("chosen_key", hashed).alias("_chosen")).distinct()
+    chosen = linked.select(F.struct("chosen_key", hashed).alias("_chosen")).distinct()
     me, number = free_name(docs.columns, "_me"), free_name(docs.columns, "_again")
     rows = docs.withColumn(me, F.struct(F.col(f"`{key}`").alias("chosen_key"), F.xxhash64(F.col(f"`{text}`")).alias("chosen_hash")))
     kept = rows.join(chosen, rows[me] == chosen["_chosen"], "left_semi")
