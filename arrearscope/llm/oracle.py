@@ -89,8 +89,102 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '')
 FROM documents d JOIN kept USING (doc_id)
 """
 
+_SEARCH = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v AS q JOIN v AS c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of a string's UTF-8 bytes, a byte at a time, over rows joined with ``crc``."""
+    data = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i::INT + 1, 2))::UBIGINT)"
+    start = "list_prepend(4294967295::UBIGINT, %s)" % data
+    step = f"lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255)::INT + 1])"
+    return f"xor(list_reduce({start}, {step}), 4294967295::UBIGINT)::BIGINT"
+
+
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda n: list_reduce(
+  list_prepend(n::UBIGINT, list_transform(range(8), lambda s: 0::UBIGINT)),
+  lambda c, s: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS entries)"""
+
+_SPELLING = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+found AS (SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS named, count(*) AS n FROM runs GROUP BY run, doc_id),
+hashed AS (SELECT run, n, {_crc32("named")} AS h FROM found, crc),
+words AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+  ELSE run END AS word, sum(n)::BIGINT AS n FROM hashed GROUP BY 1),
+v AS (SELECT word, n, length(word) AS l FROM words WHERE length(word) >= 6 AND n >= 5),
+cut AS (SELECT word, n, l, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT *, unnest(range(1, l + 1))::INT AS i FROM v)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut AS a JOIN cut AS b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut AS a JOIN v AS b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut AS a JOIN v AS b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, encode(other)) AS other, max(other_n) AS other_n
+  FROM near GROUP BY word),
+formed AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * n THEN other END AS form,
+  CASE WHEN other_n >= 5 * n THEN other_n END AS form_n FROM v LEFT JOIN best USING (word)),
+way(word, root) AS (SELECT word, word FROM formed
+  UNION ALL SELECT way.word, formed.form FROM way JOIN formed ON formed.word = way.root WHERE formed.form IS NOT NULL),
+last AS (SELECT way.word, way.root FROM way JOIN formed ON formed.word = way.root WHERE formed.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN last USING (word)
+"""
+
+
+def _leaf(n_chars: str = "n_chars") -> str:
+    fields = ("doc_id", "source", "lang", n_chars, "text")
+    shown = [f"coalesce(octet_length(encode(({c})::VARCHAR)) || ':' || ({c})::VARCHAR, '-')" for c in fields]
+    return f"sha256({' || '.join(shown)})"
+
+
+def _levels(name: str, source: str, key: str) -> str:
+    """A recursive table of all levels of the trees whose leaves ``source`` lists."""
+    return f"""{name}({key}, level, nodes) AS (SELECT {key}, 0, nodes FROM {source}
+  UNION ALL SELECT {key}, level + 1, list_transform(range((len(nodes) + 1) // 2),
+    lambda k: sha256(nodes[2 * k + 1] || coalesce(nodes[2 * k + 2], ''))) FROM {name} WHERE len(nodes) > 1)"""
+
+
+_MERKLE = f"""
+WITH RECURSIVE {_CRC_TABLE},
+leaves AS (SELECT *, {_leaf()} AS leaf, {_leaf("n_chars + 1")} AS other FROM documents),
+placed AS (SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '-') AS g, leaf,
+  CASE WHEN {_crc32("doc_id::VARCHAR")} % 7 = 0 THEN other ELSE leaf END AS tampered,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves, crc),
+groups AS (SELECT g, list(leaf ORDER BY i) AS nodes FROM placed GROUP BY g),
+{_levels("low", "groups", "g")},
+subroots AS (SELECT g, nodes[1] AS subroot, level AS height, row_number() OVER (ORDER BY encode(g)) - 1 AS i
+  FROM low WHERE len(nodes) = 1),
+tops AS (SELECT 0 AS t, list(subroot ORDER BY i) AS nodes FROM subroots),
+{_levels("high", "tops", "t")},
+roots AS (SELECT nodes[1] AS root FROM high WHERE len(nodes) = 1),
+path AS (
+  SELECT rid, level, p.i >> level AS place, coalesce(nodes[(xor(p.i >> level, 1) + 1)::INT], '') AS sibling
+    FROM placed AS p JOIN low USING (g) WHERE len(nodes) > 1
+  UNION ALL SELECT rid, height + level, s.i >> level, coalesce(nodes[(xor(s.i >> level, 1) + 1)::INT], '')
+    FROM placed AS p JOIN subroots AS s USING (g), high WHERE len(nodes) > 1),
+steps AS (SELECT rid, list({{'place': place, 'sibling': sibling}} ORDER BY level) AS steps,
+  string_agg(sibling, '' ORDER BY level) AS siblings FROM path GROUP BY rid),
+folding(rid, step, node, steps) AS (SELECT rid, 0, tampered, coalesce(steps, []) FROM placed LEFT JOIN steps USING (rid)
+  UNION ALL SELECT rid, step + 1, CASE WHEN steps[step + 1].place % 2 = 0 THEN sha256(node || steps[step + 1].sibling)
+    ELSE sha256(steps[step + 1].sibling || node) END, steps FROM folding WHERE step < len(steps)),
+folded AS (SELECT rid, node AS folded_root FROM folding WHERE step = len(steps))
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN subroots USING (g) JOIN roots ON true LEFT JOIN steps USING (rid) JOIN folded USING (rid)
+"""
+
+
 ORACLE = {
     "op3_decontamination": _DECONTAMINATION,
     "op8_quality_rules": _QUALITY.format(stop=", ".join(f"'{w}'" for w in _STOP), rules=_RULES),
     "op10_line_dedup": _LINES.format(place="row(doc_id, first)"),
+    "op11_vector_search": _SEARCH,
+    "op12_spelling_variants": _SPELLING,
+    "op13_merkle_manifest": _MERKLE,
 }

@@ -12,11 +12,14 @@ from arrearscope.llm import (
     language,
     line_dedup,
     lm_scoring,
+    merkle,
     packing,
     quality,
     simhash,
+    spelling,
     token_counts,
     token_files,
+    vector_cells,
 )
 from arrearscope.session import scratch_path
 
@@ -93,10 +96,31 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op11_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings")
+    return vector_cells.search(table, table.filter("vec_id % 50 = 0"), 5).withColumnRenamed("id", "vec_id")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    fields = {c: F.col(c) for c in merkle.FIELDS} | {"n_chars": F.try_add(F.col("n_chars"), F.lit(1))}
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, merkle.leaf(list(fields.values())))
+    rows = merkle.manifest(docs, carried={"tampered": tampered})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", merkle.digest(merkle.siblings(F.col("path"))).alias("proof_sha256"), folded.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_files, op2_hilbert_shards, op3_decontamination, op4_lm_scores, op5_packing,
         op6_language, op7_simhash, op8_quality_rules, op9_token_counts, op10_line_dedup,
+        op11_vector_search, op12_spelling_variants, op13_merkle_manifest,
     )
 }
