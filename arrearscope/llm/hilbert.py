@@ -10,8 +10,8 @@ No task sorts a whole curve cell: a cell's rows are spread over buckets by a has
 of the key, buckets are counted, their places follow from sums of counts (first
 over the buckets of a cell, then over cells, of which there are at most
 2^(bits x dimensions)), and only rows of one bucket are numbered together. The
-number of buckets follows from the row count, so a cell with a third of all rows
-is as many buckets.
+number of a cell's buckets follows from its rows, so a cell with a third of all rows
+is many buckets and a small one is one.
 
 Law: ``rows``; shard sizes are at most one row apart. Defined results: nulls take
 the lowest level; ties on the curve are ordered by bucket, key and text; repeated
@@ -25,15 +25,17 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, NumericType
 
 from arrearscope.llm.texts import let, need, without
+from arrearscope.session import written
 
 #: Bits per dimension: 32 levels.
 BITS = 5
 #: Rows that are numbered together, about.
 BUCKET_ROWS = 4096
 SHARDS = 40
+#: Counts of cells are broadcast up to 2^this many cells.
+BROADCAST_BITS = 16
 
 
 def curve_steps(n: int) -> list[tuple[int, int]]:
@@ -95,26 +97,40 @@ def curve_index(levels: list[Column], bits: int = BITS) -> Column:
     return let(F.array(*[level.cast("long") for level in levels]), index)
 
 
-def _number(docs: DataFrame, dimension: str) -> Column:
-    """A dimension as a number in the same order; strings by their first seven bytes."""
-    kind, column = docs.schema[dimension].dataType, F.col(f"`{dimension}`")
-    if isinstance(kind, NumericType):
-        return column.cast("double")
-    data = column if isinstance(kind, BinaryType) else F.encode(column.cast("string"), "UTF-8")
-    return F.conv(F.rpad(F.hex(F.substring(data, 1, 7)), 14, "0"), 16, 10).cast("double")
+def edges(docs: DataFrame, dimension: str, bits: int = BITS) -> list:
+    """The values at 2^bits - 1 equal steps of the ordered rows; a common value is several of them.
+
+    Distinct values are counted first, ordered by ranges and cumulated range by range,
+    so any ordered type works and only the edges reach the driver. Nulls come before all.
+    """
+    steps, value = 1 << bits, F.col("value")
+    counts = docs.groupBy(F.col(f"`{dimension}`").alias("value")).agg(F.count("*").alias("n"))
+    ordered = written(counts.repartitionByRange(value.asc_nulls_first()).withColumn("part", F.spark_partition_id()), "values")
+    below = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ordered.groupBy("part").agg(F.sum("n").alias("rows"))
+    starts = totals.select("part", F.coalesce(F.sum("rows").over(below), F.lit(0)).alias("start"), F.sum("rows").over(Window.partitionBy()).alias("all"))
+    upto = Window.partitionBy("part").orderBy(value.asc_nulls_first())
+    placed = ordered.join(starts, "part").select("value", "all", "n", (F.col("start") + F.sum("n").over(upto)).alias("last"))
+    # the steps j with (last - n) * steps < j * all <= last * steps, the end left out
+    first, end = f"((last - n) * {steps}L) DIV all + 1", f"least((last * {steps}L) DIV all, {steps - 1}L)"
+    found = placed.selectExpr("value", f"greatest({end} - ({first}) + 1, 0L) AS times").filter("times > 0 AND value IS NOT NULL")
+    return [v for row in found.collect() for v in [row["value"]] * row["times"]]
+
+
+def _below(array: Column, value: Column) -> Column:
+    # a second parameter of the function would be the place in the array
+    return F.size(F.filter(array, lambda e: e < value))
 
 
 def quantise(docs: DataFrame, dimensions: list[str], bits: int = BITS) -> list[Column]:
-    """Level of each dimension; the edges are 2^bits - 1 approximate quantiles each."""
-    share = [i / (1 << bits) for i in range(1, 1 << bits)]
-    edges = docs.agg(*[F.percentile_approx(_number(docs, d), share, 1000).alias(f"d{i}") for i, d in enumerate(dimensions)]).first()
+    """Level of each dimension: the edges below the value; rare values share a level."""
     levels = []
-    for i, d in enumerate(dimensions):
-        # a repeated edge is one step to its last level: equal values are one level
-        found = sorted(set(edges[f"d{i}"] or []))
-        number = F.coalesce(_number(docs, d), F.lit(float("-inf")))
-        array = F.array(*[F.lit(e) for e in found]) if found else F.expr("array(cast(0 as double))")
-        levels.append(F.size(F.filter(array, lambda e, x=number: e < x)) if found else F.lit(0))
+    for d in dimensions:
+        found = edges(docs, d, bits)
+        kind = docs.schema[d].dataType
+        array = F.array(*[F.lit(e).cast(kind) for e in found])
+        value = F.col(f"`{d}`")
+        levels.append(_below(array, value) if found else F.lit(0))
     return levels
 
 
@@ -128,24 +144,30 @@ def assign(
     if not rows:
         nothing = {"curve": F.lit(0).cast("long"), "shard": F.lit(0).cast("int"), "slot": F.lit(0).cast("long")}
         return docs.select(*kept).withColumns(nothing)
-    buckets = -(-rows // BUCKET_ROWS)
     placed = docs.select(
         F.struct(*kept).alias("row"),
         curve_index(quantise(docs, dimensions, bits), bits).alias("curve"),
-        F.pmod(F.xxhash64(F.col(f"`{key}`"), F.lit(1)), F.lit(buckets)).alias("bucket"),
+        F.xxhash64(F.col(f"`{key}`"), F.lit(1)).alias("h"),
     )
-    counts = placed.groupBy("curve", "bucket").agg(F.count("*").alias("n"))
     until = (Window.unboundedPreceding, -1)
-    in_cell = Window.partitionBy("curve").orderBy("bucket").rowsBetween(*until)
+    # a row per cell that holds rows, 2^(bits x dimensions) at most
+    sizes = written(placed.groupBy("curve").agg(F.count("*").alias("n")), "cells")
     over_cells = Window.orderBy("curve").rowsBetween(*until)
-    cells = counts.groupBy("curve").agg(F.sum("n").alias("n")).select(
-        "curve", F.coalesce(F.sum("n").over(over_cells), F.lit(0)).alias("cell_start")
+    cells = sizes.select(
+        "curve", F.coalesce(F.sum("n").over(over_cells), F.lit(0)).alias("cell_start"),
+        F.ceil(F.col("n") / BUCKET_ROWS).alias("buckets"),
     )
+    if bits * len(dimensions) <= BROADCAST_BITS:
+        cells = F.broadcast(cells)
+    placed = placed.join(cells, "curve").withColumn("bucket", F.pmod("h", "buckets"))
+    counts = placed.groupBy("curve", "bucket").agg(F.count("*").alias("n"))
+    in_cell = Window.partitionBy("curve").orderBy("bucket").rowsBetween(*until)
     starts = counts.select("curve", "bucket", F.coalesce(F.sum("n").over(in_cell), F.lit(0)).alias("bucket_start"))
-    starts = starts.join(cells, "curve").select("curve", "bucket", (F.col("cell_start") + F.col("bucket_start")).alias("start"))
     order = [F.col(f"row.`{key}`"), F.xxhash64(F.col(f"row.`{text}`"))]
     number = F.row_number().over(Window.partitionBy("curve", "bucket").orderBy(*order)) - 1
-    ranked = placed.join(starts, ["curve", "bucket"]).select("row", "curve", (F.col("start") + number).alias("rank"))
+    ranked = placed.join(starts, ["curve", "bucket"]).select(
+        "row", "curve", (F.col("cell_start") + F.col("bucket_start") + number).alias("rank")
+    )
     # run s holds the ranks from ceil(s * rows / shards) on
     shard = F.expr(f"cast((rank * {shards}L) div {rows}L AS int)")
     first = F.expr(f"(shard * {rows}L + {shards - 1}L) div {shards}L")
