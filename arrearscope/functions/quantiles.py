@@ -1,28 +1,29 @@
 """Exact order statistics and quantiles for many columns at once, at any size.
 
 ``percentile`` is exact but merges every distinct value of a column into one
-task. Here a column's value range is cut into bins, the bins are counted with a
-map-side combined ``groupBy``, and only the bins holding a wanted rank are
-opened again. Each pass is one scan whose shuffled and collected size depends on
-the number of bins and not on the number of rows; the result is exact because
-the counts are.
+task. Here one scan counts every column and sketches it: the sketch is mergeable,
+its size is fixed, and it tells for every rank two values that enclose it. A second
+scan counts what lies below, between and above those brackets, all of it combined
+map-side, and lists the distinct values inside, a few thousandths of the rows per
+rank; these are put in order by ranges and cumulated range by range. So two scans
+find any number of ranks of any number of columns, and only the wanted values reach
+the driver. The counts are exact, so the result is: a rank that a sketch missed is
+seen to lie outside its bracket, and that part of the column is opened again.
 """
 
 from __future__ import annotations
 
 import math
-import sys
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrearscope.functions.scalars import name, number
+from arrearscope.session import tidy, written
 
-#: Bins per open range and pass.
-BINS = 1024
-#: Largest finite double.
-LARGEST = sys.float_info.max
+#: Steps between the marks of a sketch; its rank error is half a step at most.
+MARKS = 500
 
 
 @dataclass(frozen=True)
@@ -35,91 +36,99 @@ class OrderStatistic:
 
 
 @dataclass(frozen=True)
-class Range:
-    """Smallest and largest value of some rows, and the rows before them."""
+class Extent:
+    """Rows with a value, the smallest and largest value, marks at equal steps of the ranks, rows without a value."""
 
-    low: float
-    high: float
-    below: int
+    low: float | None
+    high: float | None
     rows: int
+    marks: tuple[float, ...]
+    nulls: int = 0
 
-    def holds(self, rank: int) -> bool:
-        return self.below <= rank < self.below + self.rows
+    def bracket(self, rank: int) -> tuple[float, float]:
+        """Two values that enclose a rank if the sketch keeps its promise."""
+        steps = len(self.marks) - 1
+        place = rank / max(self.rows - 1, 1) * steps
+        first, last = math.floor(place) - 1, math.ceil(place) + 1
+        return self.marks[first] if first > 0 else self.low, self.marks[last] if last < steps else self.high
 
 
-def extent_of(df: DataFrame, columns: dict[str, str]) -> dict[str, Range]:
-    """Non-null count, minimum and maximum of every expression in one aggregate."""
+def extent_of(df: DataFrame, columns: dict[str, str]) -> dict[str, Extent]:
+    """Count, ends and sketch of every expression in one aggregate; nulls are no values."""
+    # one literal instead of hundreds keeps the plan of many columns small
+    levels = f"cast(split('{' '.join(str(i / MARKS) for i in range(MARKS + 1))}', ' ') AS array<double>)"
     aggs = []
     for i, sql in enumerate(columns.values()):
-        aggs.append(f"named_struct('n', count({sql}), 'lo', min({sql}), 'hi', max({sql})) AS x{i}")
+        value = f"cast({sql} AS double)"
+        marks = f"percentile_approx({value}, {levels}, {2 * MARKS})"
+        aggs.append(f"named_struct('n', count({value}), 'all', count(*), 'lo', min({value}), 'hi', max({value}), 'marks', {marks}) AS x{i}")
     row = df.selectExpr(*aggs).first()
-    return {c: Range(r["lo"], r["hi"], 0, r["n"]) for c, r in zip(columns, row)}
-
+    return {c: Extent(r["lo"], r["hi"], r["n"], tuple(r["marks"] or ()), r["all"] - r["n"]) for c, r in zip(columns, row)}
 
-def _within(value: str, r: Range) -> str:
-    return f"{value} BETWEEN {number(float(r.low))} AND {number(float(r.high))}"
 
+def _joined(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Disjoint brackets in order."""
+    out: list[tuple[float, float]] = []
+    for low, high in sorted(brackets):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    return out
 
-def _bin_cells(value: str, ranges: list[Range]) -> str:
-    """Bin number of a value across all open ranges of its column, else null.
 
-    Subtraction, division, multiplication and floor are monotone in floating
-    point, so bins never interleave; the two ends always differ, so every pass
-    narrows the range.
-    """
+def _cell(value: str, brackets: list[tuple[float, float]]) -> str:
+    """Odd numbers for values inside the brackets, even ones between and beyond."""
     cases = []
-    for i, r in enumerate(ranges):
-        # halves keep the widest range finite; an infinite value takes the end cell
-        bottom, top = (min(max(float(x), -LARGEST), LARGEST) / 2 for x in (r.low, r.high))
-        half = f"least(greatest({value}, {number(-LARGEST)}), {number(LARGEST)}) / 2"
-        if top == bottom:
-            slot = f"if({value} = {number(float(r.low))}, 0, {BINS - 1})"
-        else:
-            slot = f"cast(least(floor(({half} - {number(bottom)}) / {number(top - bottom)} * {BINS}), {BINS - 1}) AS int)"
-        cases.append(f"WHEN {_within(value, r)} THEN {slot} + {i * BINS}")
-    return f"CASE {' '.join(cases)} END"
+    for i, (low, high) in enumerate(brackets):
+        cases.append(f"WHEN {value} < {number(float(low))} THEN {2 * i} WHEN {value} <= {number(float(high))} THEN {2 * i + 1}")
+    return f"CASE {' '.join(cases)} ELSE {2 * len(brackets)} END"
 
 
-def _long(df: DataFrame, columns: dict[str, str], open_ranges: dict[str, list[Range]]) -> DataFrame:
-    """(column number, cell, value) rows; rows outside every range are dropped."""
+def _counted(df: DataFrame, columns: dict[str, str], brackets: dict[str, list[tuple[float, float]]]) -> DataFrame:
+    """(j, cell, value, n): distinct values inside brackets, and one row per cell outside."""
     entries = []
     for j, c in enumerate(columns):
-        if c in open_ranges:
+        if brackets.get(c):
             value = f"cast({columns[c]} AS double)"
-            entries.append(
-                f"named_struct('j', {j}, 'cell', {_bin_cells(value, open_ranges[c])}, 'value', {value})"
-            )
-    return df.selectExpr(f"inline(array({', '.join(entries)}))").filter("cell IS NOT NULL")
-
-
-def _count_bins(df, columns, open_ranges) -> dict[str, list[Range]]:
-    names = list(columns)
-    counted = (
-        _long(df, columns, open_ranges)
-        .groupBy("j", "cell")
-        .agg(F.expr("count(*) AS rows"), F.expr("min(value) AS low"), F.expr("max(value) AS high"))
-    )
-    found: dict[str, dict[int, tuple]] = {c: {} for c in open_ranges}
-    for r in counted.collect():  # at most columns x open ranges x BINS rows
-        found[names[r["j"]]][r["cell"]] = (r["low"], r["high"], r["rows"])
-    narrowed: dict[str, list[Range]] = {}
-    for c, ranges in open_ranges.items():
-        narrowed[c] = []
-        for i, r in enumerate(ranges):
-            below = r.below
-            for cell in range(i * BINS, (i + 1) * BINS):
-                if cell in found[c]:
-                    low, high, rows = found[c][cell]
-                    narrowed[c].append(Range(low, high, below, rows))
-                    below += rows
-    return narrowed
+            cell = f"if({value} IS NULL, NULL, {_cell(value, brackets[c])})"
+            entries.append(f"named_struct('j', {j}, 'cell', {cell}, 'value', {value})")
+    rows = df.selectExpr(f"inline(array({', '.join(entries)}))").filter("cell IS NOT NULL")
+    inside = F.expr("if(cell % 2 = 1, value, NULL)").alias("value")
+    return rows.groupBy("j", "cell", inside).agg(F.count("*").alias("n"))
+
+
+def _at_ranks(counts: DataFrame, wanted: list[tuple[int, int]]) -> list:
+    """Rows (j, k, cell, value, below, n) of the values at the wanted ranks k of column j."""
+    order = ["cell", "value"]
+    ranged = counts.repartitionByRange("j", *order).withColumn("part", F.spark_partition_id())
+    ranged = written(ranged, "ranks")
+    starts, held = {}, dict.fromkeys((j for j, _ in wanted), 0)
+    # a row per range and column
+    for r in sorted(ranged.groupBy("j", "part").agg(F.sum("n").alias("rows")).collect()):
+        starts[r["j"], r["part"]] = held[r["j"]]
+        held[r["j"]] += r["rows"]
+    # only the ranges that hold a wanted rank are read again
+    sought = []
+    for j, k in wanted:
+        parts = [(start, part) for (column, part), start in starts.items() if column == j and start <= k]
+        if parts:
+            start, part = max(parts)
+            sought.append((j, part, k, start))
+    if not sought:
+        return []
+    ranks = counts.sparkSession.createDataFrame(sought, "j int, part int, k bigint, start bigint")
+    upto = F.sum("n").over(Window.partitionBy("part", "j").orderBy(*order)) - F.col("n")
+    placed = ranged.filter(F.col("part").isin({part for _, part, _, _ in sought})).withColumn("before", upto)
+    found = placed.join(F.broadcast(ranks), ["j", "part"]).withColumn("below", F.col("start") + F.col("before"))
+    return found.filter("k >= below AND k < below + n").collect()
 
 
 def order_statistics(
     df: DataFrame,
     columns: dict[str, str],
     ranks: dict[str, list[int]],
-    extent: dict[str, Range] | None = None,
+    extent: dict[str, Extent] | None = None,
 ) -> dict[str, dict[int, OrderStatistic]]:
     """Exact values at 0-based ranks of the non-null values of each expression.
 
@@ -129,28 +138,30 @@ def order_statistics(
     extent = extent or extent_of(df, columns)
     if unordered := [c for c, r in extent.items() if r.rows and math.isnan(r.high)]:
         raise ValueError(f"NaN in columns {unordered}")
-    wanted = {c: sorted({k for k in ranks[c] if 0 <= k < r.rows}) for c, r in extent.items()}
-    ranges = {c: [extent[c]] for c in columns if wanted[c]}
+    names = list(columns)
     done: dict[str, dict[int, OrderStatistic]] = {c: {} for c in columns}
-    before = None
-    while True:
-        open_ranges: dict[str, list[Range]] = {}
-        for c, found in ranges.items():
-            for k in wanted[c]:
-                if k in done[c]:
-                    continue
-                r = next(r for r in found if r.holds(k))
-                if r.low == r.high:
-                    done[c][k] = OrderStatistic(r.low, r.below, r.rows)
-                elif r not in open_ranges.setdefault(c, []):
-                    open_ranges[c].append(r)
-        open_ranges = {c: rs for c, rs in open_ranges.items() if rs}
-        if not open_ranges:
-            return done
-        if open_ranges == before:
-            raise ArithmeticError(f"a pass did not narrow the ranges {open_ranges}")
-        before = open_ranges
-        ranges = _count_bins(df, columns, open_ranges)
+    open_ranks = {c: sorted({k for k in ranks[c] if 0 <= k < extent[c].rows}) for c in columns}
+    brackets = {c: _joined([extent[c].bracket(k) for k in ks]) for c, ks in open_ranks.items() if ks}
+    while brackets:
+        wanted = [(names.index(c), k) for c in brackets for k in open_ranks[c]]
+        missed: dict[str, list[tuple[float, float]]] = {}
+        with tidy(df.sparkSession):
+            found = _at_ranks(_counted(df, columns, brackets), wanted)
+        for r in found:
+            c = names[r["j"]]
+            if r["value"] is not None:
+                done[c][r["k"]] = OrderStatistic(r["value"], r["below"], r["n"])
+                continue
+            # between two brackets, or beyond one: that part of the column comes next
+            left, right = r["cell"] // 2 - 1, r["cell"] // 2
+            low = brackets[c][left][1] if left >= 0 else extent[c].low
+            high = brackets[c][right][0] if right < len(brackets[c]) else extent[c].high
+            missed.setdefault(c, []).append((low, high))
+        if len(found) < len(wanted):
+            raise ArithmeticError("no value at some ranks; the rows changed between two scans")
+        open_ranks = {c: [k for k in ks if k not in done[c]] for c, ks in open_ranks.items()}
+        brackets = {c: _joined(b) for c, b in missed.items()}
+    return done
 
 
 def positions(n: int, q: float) -> tuple[int, int, float]:

@@ -156,8 +156,8 @@ def _medians_and_bounds(full: DataFrame, columns) -> tuple[dict, dict]:
     all of them are looked up together, and the data is scanned half as often.
     """
     sql = as_doubles(columns)
-    total = full.count()
     extent = extent_of(full, sql)
+    total = max(r.rows + r.nulls for r in extent.values())
     ranks: dict[str, list[int]] = {}
     for c, r in extent.items():
         middle = positions(r.rows, 0.5)
