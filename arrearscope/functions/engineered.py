@@ -65,6 +65,9 @@ FROM_AVERAGES = {
     "payment_to_limit_ratio": safe_ratio("avg_payment_amount", LIMIT),
 }
 
+#: A stage's features need the columns of the table and of the stages before it.
+STAGES = (FROM_STATEMENTS, FROM_TOTALS, FROM_AVERAGES)
+
 
 def _append(df: DataFrame, features: dict[str, str]) -> DataFrame:
     return df.selectExpr("*", *[f"{sql} AS {c}" for c, sql in features.items()])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 from statistics import fmean, pstdev
 
@@ -9,9 +10,9 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from arrearscope.functions.engineered import engineer
+from arrearscope.functions.engineered import STAGES, engineer
 from arrearscope.functions.labels import label_sql
-from arrearscope.functions.scalars import name, number, seeded_hash, text
+from arrearscope.functions.scalars import name, number, seeded_hash, sigmoid, text
 from arrearscope.operators.cleaning import clean
 from arrearscope.operators.curves import areas
 from arrearscope.operators.scoring import RiskModel, decision, risk_tier, set_aside
@@ -163,19 +164,79 @@ def linear_contributions(
     )
 
 
-def ablation_contributions(model: RiskModel, df: DataFrame, top_k: int = TOP_FACTORS) -> DataFrame:
-    """Change of the calibrated probability when one feature is reset.
+def _replaced(sql: str, columns: dict[str, str]) -> str:
+    """SQL with column names, quoted or not, replaced."""
+    for column, other in columns.items():
+        sql = re.sub(rf"`{column}`|\b{column}\b", other, sql)
+    return sql
+
+
+def _linear_variants(model: RiskModel, df: DataFrame) -> DataFrame:
+    """(_in, _z, _z0, _z1, ...): log-odds of a row, and with each feature at its training median.
+
+    A reset feature changes its own model input and the engineered features made of it;
+    only these are computed again, stage by stage, as further columns of the row. All
+    other terms of the sum are shared, and terms keep their order, so the log-odds equal
+    those of scoring the changed row.
+    """
+    reference, linear = model.prep.reference, model.linear
+    # what a reset feature changes: column -> the SQL of its other value
+    changed = {c: {c: number(float(reference[c]))} for c in FEATURES}
+    rows = clean(df.selectExpr(*FEATURES, set_aside(df.columns)))
+    rows = rows.selectExpr("_in", *[f"cast({name(c)} AS double) AS {name(c)}" for c in FEATURES])
+    for stage in STAGES:
+        made = {c: sql for c, sql in stage.items()}
+        for i, c in enumerate(FEATURES):
+            for column, sql in stage.items():
+                other = _replaced(sql, changed[c])
+                if other != sql:
+                    made[f"_{i}_{column}"] = other
+        rows = rows.selectExpr("*", *[f"{sql} AS {name(c)}" for c, sql in made.items()])
+        for i, c in enumerate(FEATURES):
+            changed[c] |= {column: name(f"_{i}_{column}") for column in stage if f"_{i}_{column}" in made}
+    inputs = model.prep.encoded()
+    weights = {c: number(float(w)) for c, w in linear.coefficients.items()}
+    terms = {f"_t_{j}": f"{w} * ({inputs[c]})" for j, (c, w) in enumerate(weights.items())}
+    sums = [list(terms)]
+    for i, c in enumerate(FEATURES):
+        own = []
+        for j, (column, w) in enumerate(weights.items()):
+            other = _replaced(inputs[column], changed[c])
+            if other != inputs[column]:
+                terms[f"_t_{i}_{j}"] = f"{w} * ({other})"
+            own.append(f"_t_{i}_{j}" if other != inputs[column] else f"_t_{j}")
+        sums.append(own)
+    rows = rows.selectExpr("_in", *[f"{sql} AS {c}" for c, sql in terms.items()])
+    start = number(float(linear.intercept))
+    names = ["_z", *[f"_z{i}" for i in range(len(FEATURES))]]
+    return rows.selectExpr("_in", *[f"{' + '.join([start, *own])} AS {z}" for z, own in zip(names, sums)])
+
+
+def _linear_ablation(model: RiskModel, df: DataFrame) -> DataFrame:
+    """(_in, default_probability, _factors) of a linear model: a projection, row by row."""
+    rows = _linear_variants(model, df)
+    names = [c for c in rows.columns if c != "_in"]
+    rows = rows.selectExpr("_in", *[f"{sigmoid(c)} AS {c}" for c in names])
+    if model.calibrator is not None:
+        for c in names:
+            rows = model.calibrator.apply(rows, c, f"_p{c}").drop(c)
+        names = [f"_p{c}" for c in names]
+    base, *resets = names
+    factors = ", ".join(
+        f"struct({label_sql(text(c))} AS feature, bround({base} - {p}, 4) AS contribution)" for c, p in zip(FEATURES, resets)
+    )
+    return rows.selectExpr("_in", f"{base} AS default_probability", f"array({factors}) AS _factors")
+
 
-    Each row becomes 22 variants (unchanged, and one per feature at its training
-    median). Rows are spread by a hash of their values before the fan-out, so the
+def _exploded_ablation(model: RiskModel, df: DataFrame) -> DataFrame:
+    """(_in, default_probability, _factors, _copies) of any model, by scoring every variant.
+
+    Rows are spread by a hash of their values before the fan-out, so the
     variants of a row stay in their task and are put together again without a second
-    shuffle. Equal rows are counted map-side, explained once and listed as often as
-    they stand; a repeated task finds the same keys.
+    shuffle. Equal rows are counted map-side and explained once; a repeated task finds
+    the same keys.
     """
     reference = model.prep.reference
-    if not reference:
-        empty = F.array().cast(FACTOR_TYPE)
-        return model.probability(df).withColumns({"risk_increasing": empty, "protective": empty})
     packed = df.selectExpr(*FEATURES, set_aside(df.columns))
     row = F.md5(F.to_json("_in", {"ignoreNullFields": "false"})).alias("_row")
     keyed = clean(packed).groupBy(row).agg(F.first(F.struct("_in", *FEATURES)).alias("_one"), F.count("*").cast("int").alias("_copies"))
@@ -200,10 +261,23 @@ def ablation_contributions(model: RiskModel, df: DataFrame, top_k: int = TOP_FAC
     )
     change = "bround(default_probability - v.p, 4)"
     factors = f"transform(_variants, v -> struct({label_sql('v.feature')} AS feature, {change} AS contribution))"
+    return gathered.selectExpr("_in", "default_probability", f"{factors} AS _factors", "_copies")
+
+
+def ablation_contributions(model: RiskModel, df: DataFrame, top_k: int = TOP_FACTORS) -> DataFrame:
+    """Change of the calibrated probability when one feature is reset to its training median.
+
+    The 22 variants of a row are further columns of it for a linear model, without any
+    shuffle, and rows of their own for others. Every row is listed once.
+    """
+    if not model.prep.reference:
+        empty = F.array().cast(FACTOR_TYPE)
+        return model.probability(df).withColumns({"risk_increasing": empty, "protective": empty})
     up, down = _strongest("_factors", top_k)
-    listed = gathered.selectExpr("_in", "default_probability", "_copies", f"{factors} AS _factors").selectExpr(
-        "_in", "default_probability", f"{up} AS risk_increasing", f"{down} AS protective", "_copies"
-    )
+    factors = (f"{up} AS risk_increasing", f"{down} AS protective")
+    if model.linear is not None:
+        return _linear_ablation(model, df).selectExpr("_in.*", "default_probability", *factors)
+    listed = _exploded_ablation(model, df).selectExpr("_in", "default_probability", "_copies", *factors)
     again = listed.selectExpr("*", "explode(array_repeat(0, _copies)) AS _copy")
     return again.selectExpr("_in.*", "default_probability", "risk_increasing", "protective")
 

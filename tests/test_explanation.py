@@ -53,10 +53,36 @@ def test_equal_ids_are_explained_row_by_row(card, make_clients):
 
 
 def test_variants_are_put_together_without_a_second_shuffle(card, prepared):
-    plan = x.ablation_contributions(card, prepared.part("test"))._jdf.queryExecution().executedPlan().toString()
+    plan = x._exploded_ablation(card, prepared.part("test"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1, plan
 
 
+def test_a_linear_model_is_explained_without_a_shuffle(card, prepared):
+    plan = x.ablation_contributions(card, prepared.part("test"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan and "Python" not in plan, plan
+
+
+def test_both_forms_of_ablation_agree(card, prepared, make_clients):
+    odd = make_clients(
+        {}, {}, {c: None for c in FEATURES}, {"limit_bal": 0.0, "education": 9}, {"pay_0": None, "bill_amt1": None, "id": None},
+        {f"bill_amt{i}": 0.0 for i in range(1, 7)}, {f"pay_amt{i}": None for i in range(1, 7)}, {"bill_amt1": -1.0, "pay_6": 8},
+    )
+    plain = RiskModel(card.prep, card.classifier)
+    logistic = RiskModel(card.prep, fit_baseline(prepared, "LogisticRegression", {}))
+    for model in (card, plain, logistic):
+        for df in (odd, prepared.part("test").select(*odd.columns)):
+            wide = x._linear_ablation(model, df).selectExpr("_in.*", "default_probability", "_factors").collect()
+            long = x._exploded_ablation(model, df).selectExpr("_in.*", "default_probability", "_factors", "_copies").collect()
+            key = lambda r: repr((r[: len(odd.columns)], r["default_probability"], sorted(map(tuple, r["_factors"]))))
+            assert sorted(map(key, wide)) == sorted(key(r) for r in long for _ in range(r["_copies"]))
+
+
+def test_other_columns_pass_through_the_explanation(card, make_clients):
+    df = make_clients({}, {"pay_0": 3}).selectExpr("*", "'x' AS _z", "'y' AS total_bill_amount", "'z' AS _0_max_delay_months")
+    rows = x.ablation_contributions(card, df).collect()
+    assert [(r["_z"], r["total_bill_amount"], r["_0_max_delay_months"]) for r in rows] == [("x", "y", "z")] * 2
+
+
 def test_no_reference_gives_no_factors(card, prepared):
     from dataclasses import replace
 
