@@ -8,16 +8,20 @@ from typing import Any
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from arrearscope.functions.pooling import BLOCKS, pool_group, pool_range
 from arrearscope.functions.quantiles import exact_quantiles
 from arrearscope.functions.scalars import bounded, name, number, sigmoid
-from arrearscope.operators.curves import score_counts
+from arrearscope.operators.curves import SCORES_PER_RANGE, score_counts
 from arrearscope.operators.metrics import squared_error
+from arrearscope.session import written
 
 METHODS = ("sigmoid", "isotonic")
 RELIABILITY_BINS = 10
+#: Score ranges whose blocks one task pools together.
+RANGES_AT_ONCE = 8
 
 
 @dataclass(frozen=True)
@@ -75,16 +79,48 @@ def fit_sigmoid(df: DataFrame, score: str = "p", label: str = "y") -> SigmoidCal
     return SigmoidCalibrator(float(fitted.coefficients[0]), float(fitted.intercept))
 
 
-def fit_isotonic(df: DataFrame, score: str = "p", label: str = "y") -> IsotonicCalibrator:
+def pooled_blocks(
+    counts: DataFrame, scores_per_range: int = SCORES_PER_RANGE, fan_in: int = RANGES_AT_ONCE
+) -> DataFrame:
+    """(part, lo, hi, pos, n): the blocks of pool-adjacent-violators over (p, pos, neg) per distinct score.
+
+    Pooled blocks of neighbouring ranges pool to the same blocks as their scores, so
+    ranges are pooled on their own first. Then, round by round, those whose borders
+    still fall are pooled in groups of ``fan_in``, shifted by half a group every round
+    so that every border lies inside a group in one round of two. A block stays in
+    the range of its lower end: no task ever holds more than ``fan_in`` ranges, also
+    where nothing is pooled, and the driver sees one number per round.
+    """
+    counts = written(counts.selectExpr("p", "pos", "pos + neg AS n").filter("n > 0"), "score-counts")
+    parts = max(1, -(-counts.count() // scores_per_range))
+    ranged = counts.repartitionByRange(parts, "p").sortWithinPartitions("p")
+    blocks = written(ranged.mapInArrow(pool_range, BLOCKS), "blocks")
+    turn = 0
+    while True:
+        rate = "pos / n"
+        # a row per range that holds blocks
+        borders = blocks.groupBy("part").agg(F.expr(f"min_by({rate}, lo) AS first"), F.expr(f"max_by({rate}, lo) AS last"))
+        order = Window.orderBy("part")
+        placed = borders.select(
+            "part", (F.lead("first").over(order) <= F.col("last")).alias("falls"), (F.row_number().over(order) - 1).alias("place")
+        )
+        if not placed.agg(F.count_if("falls")).first()[0]:
+            return blocks
+        shift = fan_in // 2 if turn % 2 else 0
+        groups = placed.select("part", F.expr(f"(place + {shift}) DIV {fan_in}").alias("grp"))
+        merged = blocks.join(groups, "part").groupBy("grp").applyInArrow(pool_group, BLOCKS)
+        blocks, turn = written(merged, "blocks"), turn + 1
+
+
+def fit_isotonic(df: DataFrame, score: str = "p", label: str = "y", **kw) -> IsotonicCalibrator:
     """Pool-adjacent-violators over the weighted distinct scores.
 
-    Spark pools inside score-ordered partitions first; only the pooled blocks of
-    each partition are merged at the end, not the scores.
+    All pooling happens on the executors; the model is made from the two ends of each
+    block, which is what a fitted curve consists of.
     """
-    table = _score_table(df, score, label)
-    fitted = IsotonicRegression(
-        featuresCol="p", labelCol="rate", weightCol="weight", isotonic=True
-    ).fit(table)
+    blocks = pooled_blocks(score_counts(df, score, label), **kw)
+    ends = blocks.selectExpr("explode(array_distinct(array(lo, hi))) AS p", "pos / n AS rate", "cast(n AS double) AS weight")
+    fitted = IsotonicRegression(featuresCol="p", labelCol="rate", weightCol="weight", isotonic=True).fit(ends)
     return IsotonicCalibrator(fitted)
 
 
