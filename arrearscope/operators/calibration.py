@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 from arrearscope.functions.pooling import BLOCKS, pool_group, pool_range
 from arrearscope.functions.quantiles import exact_quantiles
 from arrearscope.functions.scalars import bounded, name, number, sigmoid
-from arrearscope.operators.curves import SCORES_PER_RANGE, score_counts
+from arrearscope.operators.curves import score_counts
 from arrearscope.operators.metrics import squared_error
 from arrearscope.session import written
 
 METHODS = ("sigmoid", "isotonic")
 RELIABILITY_BINS = 10
+#: Distinct scores that one task pools first, about.
+SCORES_PER_RANGE = 100_000
 #: Score ranges whose blocks one task pools together.
 RANGES_AT_ONCE = 8
 

@@ -1,23 +1,19 @@
 """Ranking curves and areas from exact, parallel prefix sums over scores.
 
 Rows are first reduced to one row per distinct score (combined map-side, so a
-score shared by a third of all rows is one row), then cut into score ranges of
-about equal row counts, whose number follows from the distinct scores. Each range is cumulated on its own and shifted by the
-totals of the ranges above it; no task ever sorts the whole table.
+score shared by a third of all rows is one row), then range-partitioned by score.
+Each range is cumulated on its own and shifted by the totals of the ranges above
+it; no task ever sorts the whole table, and the driver sees no scores.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrearscope.functions.scalars import name, number
+from arrearscope.functions.scalars import name
 from arrearscope.session import written
 
-#: Distinct scores that are cumulated in one task, about; their number sets the ranges.
-SCORES_PER_RANGE = 100_000
-
 
 def score_counts(df: DataFrame, score: str, label: str, by: tuple[str, ...] = ()) -> DataFrame:
     """(by..., p, pos, neg): label counts per distinct score; a missing score has no rank and raises."""
@@ -28,25 +24,16 @@ def score_counts(df: DataFrame, score: str, label: str, by: tuple[str, ...] = ()
     )
 
 
-def range_edges(counts: DataFrame, scores_per_range: int = SCORES_PER_RANGE) -> list[float]:
-    """Inner edges of score ranges with about equally many scores; none for a single range.
+def by_ranges(counts: DataFrame, by: tuple[str, ...] = (), ranges: int | None = None) -> DataFrame:
+    """``counts`` written in score ranges of about equal size, with the range's number as ``_range``.
 
-    The edges only balance the work: any edges give the same result.
+    Ranges ascend with the score inside each group. Without a number they are as many as
+    the session's shuffle partitions, merged where they are small. Any ranges give the
+    same result; they are written because a second cut might fall elsewhere.
     """
-    parts = -(-counts.count() // scores_per_range)
-    if parts < 2:
-        return []
-    levels = ", ".join(number(i / parts) for i in range(1, parts))
-    row = counts.selectExpr(f"percentile_approx(p, array({levels}), {10 * parts}) AS edges").first()
-    return sorted({float(e) for e in row["edges"]})
-
-
-def _with_range(counts: DataFrame, edges: list[float]) -> DataFrame:
-    splits = [-float("inf"), *edges, float("inf")]
-    if not edges:
-        return counts.withColumn("_range", F.lit(0))
-    cut = Bucketizer(splits=splits, inputCol="p", outputCol="_range", handleInvalid="error")
-    return cut.transform(counts).withColumn("_range", F.col("_range").cast("int"))
+    order = [F.col(name(c)) for c in (*by, "p")]
+    cut = counts.repartitionByRange(*([ranges] if ranges else []), *order)
+    return written(cut.withColumn("_range", F.spark_partition_id()), "scores")
 
 
 def cols(names) -> str:
@@ -63,17 +50,15 @@ def ranked_counts(
     score: str = "p",
     label: str = "y",
     by: tuple[str, ...] = (),
-    scores_per_range: int = SCORES_PER_RANGE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """One row per distinct score with label counts at and strictly above it.
 
     Columns: by..., p, pos, neg, pos_above, neg_above. The distinct scores are
     written once, so the scoring behind ``df`` runs a single time although the
-    range edges, the range totals and the prefix sums all read them.
+    range totals and the prefix sums both read them.
     """
-    counts = written(score_counts(df, score, label, by), "scores")
-    edges = range_edges(counts, scores_per_range)
-    ranged = _with_range(counts, edges)
+    ranged = by_ranges(score_counts(df, score, label, by), by, ranges)
     # a row per range and group
     totals = ranged.groupBy(*by, "_range").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     part = f"PARTITION BY {cols(by)} " if by else ""

@@ -61,28 +61,29 @@ def invalid_targets(df: DataFrame, target: str = ROLES.target) -> DataFrame:
     return df.agg(F.count_if(~F.col(target).isin(0, 1)).alias("n_invalid"))
 
 
-def _repeated_ids(df: DataFrame, id_column: str) -> DataFrame:
-    return df.groupBy(id_column).agg(F.count("*").alias("copies")).filter("copies > 1")
+def _extra_copies(counts: DataFrame, alias: str) -> DataFrame:
+    return counts.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias(alias))
 
 
 def duplicate_ids(df: DataFrame, id_column: str = ROLES.id) -> DataFrame:
     """Rows beyond the first of each id; missing ids form one group."""
-    extra = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint")
-    return _repeated_ids(df, id_column).agg(extra.alias("n_duplicate_ids"))
+    return _extra_copies(df.groupBy(id_column).agg(F.count("*").alias("copies")), "n_duplicate_ids")
 
 
-def duplicate_rows(df: DataFrame, id_column: str = ROLES.id) -> DataFrame:
-    """Rows minus distinct rows, null equal to null.
+def row_counts(df: DataFrame) -> DataFrame:
+    """(h1, h2, copies): rows counted by 128 bits of hash over all their values.
 
-    Equal rows share their id, so only rows of repeated ids are compared: the
-    whole table is shuffled by id and count alone, and the wide comparison sees
-    just the suspects, combined map-side and spread over all column values.
+    A null is told from every value, and null equals null. Equal rows are counted
+    map-side and different rows spread evenly, whatever ids they share.
     """
-    repeated = _repeated_ids(df, id_column).select(F.col(id_column).alias("_repeated"))
-    suspects = df.join(repeated, F.col(id_column).eqNullSafe(F.col("_repeated")), "left_semi")
-    copies = suspects.groupBy(*df.columns).agg(F.count("*").alias("copies"))
-    extra = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint")
-    return copies.agg(extra.alias("n_duplicate_rows"))
+    parts = [part for c in df.columns for part in (F.col(name(c)).isNull(), F.col(name(c)))]
+    hashes = [F.xxhash64(F.lit(seed), *parts).alias(f"h{seed}") for seed in (1, 2)]
+    return df.select(*hashes).groupBy("h1", "h2").agg(F.count("*").alias("copies"))
+
+
+def duplicate_rows(df: DataFrame) -> DataFrame:
+    """Rows minus distinct rows, null equal to null."""
+    return _extra_copies(row_counts(df), "n_duplicate_rows")
 
 
 def out_of_codebook(df: DataFrame, codebook: dict[str, tuple[int, ...]] | None = None) -> DataFrame:
@@ -135,7 +136,7 @@ def quality_report(df: DataFrame, roles: Roles = ROLES) -> DataFrame:
     )
     flat = counts.select(
         "*",
-        duplicate_rows(df, roles.id).scalar().alias("n_duplicate_rows"),
+        duplicate_rows(df).scalar().alias("n_duplicate_rows"),
         duplicate_ids(df, roles.id).scalar().alias("n_duplicate_ids"),
         codes.scalar().alias("codes"),
     )

@@ -222,7 +222,7 @@ def v04(spark, sf):
     lines = table(spark, sf, "lineitem")
     found = [
         validation.duplicate_rows(panel(spark, sf)).selectExpr("'clients' AS table_name", "*"),
-        validation.duplicate_rows(lines, "l_orderkey").selectExpr("'lineitem' AS table_name", "*"),
+        validation.duplicate_rows(lines).selectExpr("'lineitem' AS table_name", "*"),
     ]
     return found[0].unionByName(found[1])
 

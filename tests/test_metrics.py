@@ -26,13 +26,13 @@ def brute(y, p):
     return auc, ap
 
 
-@pytest.mark.parametrize("scores_per_range", [10**6, 3])
+@pytest.mark.parametrize("ranges", [None, 1, 60])
 @pytest.mark.parametrize("decimals", [1, 6])
-def test_areas_against_brute_force(spark, scores_per_range, decimals):
+def test_areas_against_brute_force(spark, ranges, decimals):
     rng = np.random.default_rng(5)
     y = rng.integers(0, 2, 300)
     p = np.round(np.clip(rng.normal(0.4 + 0.2 * y, 0.2), 0, 1), decimals)
-    row = curves.areas(frame(spark, y, p), scores_per_range=scores_per_range).first()
+    row = curves.areas(frame(spark, y, p), ranges=ranges).first()
     assert (row.roc_auc, row.pr_auc) == pytest.approx(brute(y, p))
 
 
@@ -43,7 +43,7 @@ def test_clustered_scores_and_groups(spark):
     y = rng.integers(0, 2, n)
     p = np.where(rng.random(n) < 0.33, 0.5, 1e-6 * rng.random(n) + 1e-7 * y)
     g = ["a" if v else "b" for v in rng.integers(0, 2, n)]
-    rows = curves.areas(frame(spark, y, p, g), by=("grp",), scores_per_range=5).collect()
+    rows = curves.areas(frame(spark, y, p, g), by=("grp",), ranges=40).collect()
     for r in rows:
         keep = [i for i in range(n) if g[i] == r.grp]
         assert (r.roc_auc, r.pr_auc) == pytest.approx(brute(y[keep], p[keep]))
@@ -85,9 +85,9 @@ def test_suite_agrees_with_row_level_metrics(spark):
 
 def test_curve_end_points(spark):
     df = scored(spark, SMALL)
-    roc = curves.roc_points(df, scores_per_range=10).orderBy("fpr", "tpr").collect()
+    roc = curves.roc_points(df, ranges=9).orderBy("fpr", "tpr").collect()
     assert (roc[0].fpr, roc[0].tpr) == (0.0, 0.0) and (roc[-1].fpr, roc[-1].tpr) == (1.0, 1.0)
-    pr = {r.threshold: r for r in curves.pr_points(df, scores_per_range=10).collect()}
+    pr = {r.threshold: r for r in curves.pr_points(df, ranges=9).collect()}
     assert (pr[None].precision, pr[None].recall) == (1.0, 0.0)
     assert pr[min(t for t in pr if t is not None)].recall == 1.0
 
@@ -151,9 +151,24 @@ def test_comparison_rounds_quality_columns(spark):
     assert row.model == "first" and row.roc_auc == 0.8338 and row.n == 6000
 
 
-@pytest.mark.parametrize("scores_per_range", [10**6, 2])
+@pytest.mark.parametrize("ranges", [None, 3])
 @pytest.mark.parametrize("odd", [None, float("nan")])
-def test_a_missing_score_raises_at_every_size(spark, scores_per_range, odd):
+def test_a_missing_score_raises_at_every_size(spark, ranges, odd):
     df = spark.createDataFrame([(0.1, 0), (0.2, 1), (0.3, 0), (odd, 1)], "p double, y int")
     with pytest.raises(Exception, match="without a score"):
-        curves.areas(df, scores_per_range=scores_per_range).collect()
+        curves.areas(df, ranges=ranges).collect()
+
+
+def test_ranges_cumulate_many_distinct_scores(spark):
+    """Two million scores in 50 ranges: the areas follow from sums known in closed form."""
+    n = 2_000_000
+    df = spark.range(n).selectExpr("id / 2e6D AS p", "cast(id % 2 AS int) AS y")
+    ranked = curves.ranked_counts(df, ranges=50)
+    row = ranked.selectExpr(
+        "count(*) AS n", "sum(pos_above) AS pos_above", "sum(neg_above) AS neg_above", f"{curves.ROC_AUC} AS auc"
+    ).first()
+    half = n // 2
+    # over odd ids: (half - 1) ... 0 above; over even ones: half ... 1
+    assert row["n"] == n and row["pos_above"] == half * (half - 1) // 2 + half * (half + 1) // 2
+    assert row["neg_above"] == 2 * (half * (half - 1) // 2)
+    assert row["auc"] == pytest.approx(0.5 + 0.5 / half, abs=1e-9)

@@ -30,6 +30,24 @@ def test_duplicates_with_null_ids(make_clients):
     assert v.duplicate_rows(df).first()[0] == 2
 
 
+def test_duplicates_under_one_id(spark):
+    """A third of all rows under one id and a third without one, in copies and not."""
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, i % 50, None if i % 7 else 0.0, float("nan") if i % 2 else -0.0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, a int, b double, c double").repartition(6)
+    assert v.duplicate_rows(df).first()[0] == 3000 - df.distinct().count()
+    assert v.duplicate_ids(df).first()[0] == 999 + 999
+    counts = v.row_counts(df)
+    assert counts.agg({"copies": "sum"}).first()[0] == 3000
+    plan = v.duplicate_rows(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_nulls_in_other_places_are_other_rows(spark):
+    df = spark.createDataFrame([(1, None), (None, 1), (None, None), (1, 1), (None, None)], "a int, b int")
+    assert v.duplicate_rows(df).first()[0] == 1
+    assert v.duplicate_rows(df.limit(0)).first()[0] == 0
+
+
 def test_report(make_clients):
     df = make_clients({"sex": 0, "age": None, TARGET: 1}, {"education": 6}, {"education": 5}, {"marriage": None})
     row = v.check(df).first()
