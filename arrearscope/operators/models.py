@@ -21,7 +21,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrearscope.functions.scalars import name, number, seeded_hash, sigmoid
+from arrearscope.functions.scalars import name, number, seeded_hash, sigmoid, text
 from arrearscope.operators.curves import areas
 from arrearscope.operators.preparation import Preprocessor
 from arrearscope.operators.splitting import with_fold
@@ -135,6 +135,28 @@ def linear_of(model: LogisticRegressionModel, names: list[str]) -> LinearModel:
     return LinearModel(dict(zip(names, map(float, model.coefficients))), float(model.intercept))
 
 
+def optimality(model: LinearModel, frame: DataFrame, params: dict[str, Any]) -> DataFrame:
+    """(feature, gradient, curvature) of the penalised mean loss at a model's weights.
+
+    ``frame`` is what the model was fitted on. The loss is convex and its penalty strictly
+    so, hence gradients of zero certify the one optimum; the curvature is the second
+    derivative along the weight. The intercept, named so, has no penalty. One aggregate.
+    """
+    names = list(model.coefficients)
+    weight, c = _weight_column(params), float(params.get("C", 1.0))
+    w = ", ".join(number(float(model.coefficients[f])) for f in names)
+    z = f"aggregate(zip_with(x, array({w}), (a, b) -> a * b), {number(float(model.intercept))}, (s, t) -> s + t)"
+    rows = frame.select(vector_to_array("features").alias("x"), LABEL, F.col(weight).alias("w"))
+    rows = rows.selectExpr("x", "w", LABEL, f"{sigmoid(z)} AS p").selectExpr("x", f"w * (p - {LABEL}) AS r", "w * p * (1D - p) AS h")
+    sums = [
+        f"named_struct('feature', {text(f)}, 'gradient', (sum(r * x[{j}]) + {number(float(model.coefficients[f]) / c)}) / count(*), "
+        f"'curvature', (sum(h * x[{j}] * x[{j}]) + {number(1.0 / c)}) / count(*))"
+        for j, f in enumerate(names)
+    ]
+    own = "named_struct('feature', 'intercept', 'gradient', sum(r) / count(*), 'curvature', sum(h) / count(*))"
+    return rows.selectExpr(f"array({', '.join([own, *sums])}) AS found").selectExpr("inline(found)")
+
+
 def _weight_column(params: dict[str, Any]) -> str:
     return BALANCED if params.get("class_weight") else PLAIN
 

@@ -547,6 +547,18 @@ add("f11_reference_medians", _long(FEATURES, None, "meds", median=lambda c: f"me
 
 # -- M ------------------------------------------------------------------------------
 
+_WEIGHTED = f"""SELECT feature, cast(0 AS double) AS gradient, true AS curved FROM (
+  SELECT unnest(['intercept', {', '.join(f"'num__{c}'" for c in SCALED)}]
+    || (SELECT list('cat__education_' || education ORDER BY education)[2:]
+        FROM (SELECT DISTINCT education FROM parts WHERE split = 'train'))) AS feature)"""
+# at an optimum every gradient is zero
+add("m02_optimum", _WEIGHTED, "parts")
+add(
+    "m11_optima",
+    f"SELECT strategy, w.* FROM ({_WEIGHTED}) AS w, (VALUES ('unweighted'), ('class_weight_balanced')) AS s(strategy)",
+    "parts",
+)
+
 _DUMMY = f"""CASE WHEN {h32(f"'{SEED}:' || cast(id AS string)")} / 4294967296e0
     < (SELECT avg({TARGET}) FROM parts WHERE split = 'train') THEN 1e0 ELSE 0e0 END"""
 add("m01_dummy", f"SELECT id, {_DUMMY} AS p FROM parts WHERE split = 'validation'", "parts")

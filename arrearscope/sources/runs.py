@@ -1,4 +1,4 @@
-"""Training runs as rows of an append-only table."""
+"""Training runs as rows of a table keyed by run id."""
 
 from __future__ import annotations
 
@@ -64,12 +64,16 @@ def run_row(
 
 
 def append_run(row: DataFrame, path: str) -> None:
-    """One more run; a write adds files and never rewrites earlier ones."""
-    row.write.mode("append").json(path)
+    """Log runs; a run that is logged again, as after a repeated job, replaces its own row.
+
+    A run's row lies in a folder of its id, so other runs are never rewritten.
+    """
+    kept = row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    kept.partitionBy("run_id").json(path)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_SCHEMA).json(path)
+    return spark.read.schema(RUN_SCHEMA).json(path).select(*RUN_SCHEMA.fieldNames())
 
 
 def best_run(runs: DataFrame, metric: str = "pr_auc") -> DataFrame:

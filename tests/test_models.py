@@ -35,6 +35,20 @@ def test_logistic_regression_has_the_same_optimum(spark, weight):
     assert np.allclose([*fitted.coefficients, fitted.intercept], expected, atol=1e-5)
 
 
+def test_the_optimum_is_certified_and_other_weights_are_not(prepared):
+    frame, names = prepared.frame_part("train"), prepared.prep.names
+    for params in ({"C": 0.5}, {"C": 2.0, "class_weight": "balanced"}):
+        fitted = models.estimator("LogisticRegression", params | {"tol": 1e-12}, frame.count()).fit(frame)
+        linear = models.linear_of(fitted, names)
+        rows = models.optimality(linear, frame, params).collect()
+        assert [r.feature for r in rows] == ["intercept", *names]
+        assert max(abs(r.gradient) for r in rows) < 1e-6 and min(r.curvature for r in rows) > 0
+        moved = models.LinearModel(linear.coefficients | {names[0]: linear.coefficients[names[0]] + 0.1}, linear.intercept)
+        assert max(abs(r.gradient) for r in models.optimality(moved, frame, params).collect()) > 1e-3
+        other = models.optimality(linear, frame, params | {"C": 50.0}).collect()
+        assert max(abs(r.gradient) for r in other) > 1e-5
+
+
 def test_class_weights(spark):
     df = spark.createDataFrame([(1,)] * 2 + [(0,)] * 6, f"{TARGET} int")
     assert {r[0]: r.weight for r in models.class_weights(df).collect()} == {1: 2.0, 0: pytest.approx(2 / 3)}

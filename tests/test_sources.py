@@ -86,6 +86,15 @@ def test_runs(spark):
     best = runs.best_run(found).first()
     assert (best.model_name, best.value, best.params) == ("b", 0.7, {"C": "1"})
     assert runs.new_run_id() != runs.new_run_id()
+    # a repeated job replaces its run and leaves the others as they are
+    others = {r.run_id: r.created_at for r in found.collect()}
+    again = runs.run_row(spark, "b again", {"pr_auc": 0.65}, run_id="id-b")
+    for _ in range(2):
+        runs.append_run(again, path)
+    after = {r.run_id: r for r in runs.read_runs(spark, path).collect()}
+    assert set(after) == set(others) and after["id-b"].model_name == "b again"
+    assert all(after[i].created_at == others[i] for i in ("id-a", "id-c"))
+    assert runs.read_runs(spark, path).columns == runs.RUN_SCHEMA.fieldNames()
 
 
 def test_reports(spark):
