@@ -7,23 +7,29 @@ column lists and fixed constants are shared.
 
 from __future__ import annotations
 
-from arrearscope.functions.bands import AGE_BANDS, GROUP_LABELS
 from arrearscope.functions.engineered import ENGINEERED
 from arrearscope.plans import scorecard as sc
-from arrearscope.roles import (
-    BILL,
-    CODEBOOK,
-    FEATURES,
-    FIELD_RANGES,
-    NUMERIC,
-    PAID,
-    PAY,
-    POLICY,
-    ROLES,
-    SEED,
-    TARGET,
-)
-
+from arrearscope.roles import BILL, FEATURES, NUMERIC, PAID, PAY, ROLES, SEED, TARGET
+
+
+# Fixed values, written out once more so that the comparison is with them and not with the engine.
+CODEBOOK = {"sex": (1, 2), "education": (1, 2, 3, 4), "marriage": (1, 2, 3)}
+FIELD_RANGES = {
+    "limit_bal": (0, 1_000_000),
+    "age": (18, 100),
+    **{f"pay_{m}": (-2, 9) for m in (0, 2, 3, 4, 5, 6)},
+    **{f"bill_amt{m}": (None, None) for m in (1, 2, 3, 4, 5, 6)},
+    **{f"pay_amt{m}": (0, None) for m in (1, 2, 3, 4, 5, 6)},
+    "education": (1, 6),
+}
+GROUP_LABELS = {
+    "sex": {1: "male", 2: "female"},
+    "marriage": {1: "married", 2: "single", 3: "other"},
+    "education": {1: "graduate", 2: "university", 3: "high_school", 4: "other"},
+}
+AGE_BANDS = ((25, "<=25"), (35, "26-35"), (45, "36-45"), (55, "46-55"), (None, "56+"))
+#: Thresholds 0.05, 0.06 ... 0.80.
+GRID = [round(0.05 + i / 100, 2) for i in range(76)]
 
 #: Display labels, written out for comparison and independent of the engine.
 _SHOWN = {
@@ -704,7 +710,7 @@ def sweep_of(source: str, p: str = "p", y: str = "y") -> str:
     {ratio('2 * tp', '2 * tp + fp + fn')} AS f1, {ratio('fp', 'fp + tn')} AS fpr, {ratio('fn', 'fn + tp')} AS fnr,
     5e0 * fn + 1e0 * fp AS expected_cost
   FROM (SELECT threshold, {confusion_of('threshold', p, y)} FROM (SELECT {p}, {y} FROM {source}),
-      (SELECT unnest([{', '.join(f'{t!r}::double' for t in POLICY.grid)}]) AS threshold) GROUP BY threshold)"""
+      (SELECT unnest([{', '.join(f'{t!r}::double' for t in GRID)}]) AS threshold) GROUP BY threshold)"""
 
 
 def choice_of(swept: str) -> str:
