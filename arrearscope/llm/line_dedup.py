@@ -113,7 +113,8 @@ def dedup(
     lines = F.split(body, "\n")
     cut = let(lines, lambda x: F.array_join(_without(x, F.col(runs)), "\n"))
     removed = F.aggregate(runs, F.lit(0).cast("long"), lambda n, r: n + r["last"] - r["first"] + 1)
-    return docs.join(found, same, "left").select(
+    # one plan at every size: few repeats on small tables are no reason to count on few
+    return docs.join(found.hint("merge"), same, "left").select(
         *[F.when(F.col(runs).isNull(), body).otherwise(cut).alias(c) if c == text else docs[f"`{c}`"] for c in without(docs.columns, *added)],
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias(added[0]),
         F.coalesce(removed, F.lit(0)).alias(added[1]),
