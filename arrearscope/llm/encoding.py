@@ -16,13 +16,17 @@ from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: Pieces in the young table of a Python worker. When it is full it becomes the
 #: old one; pieces of the old table that come again move back.
 REMEMBERED = 450_000
 #: Longest piece (characters) worth remembering.
 LONGEST = 64
 #: Characters encoded at a time, so that cut texts stay small in memory.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 5_000_000
 
 _odd_space = re.compile(r"[^\S \t\n\r]")
 #: One word of ASCII and Latin-1 letters, with a blank before and marks behind.
@@ -62,16 +66,18 @@ class Encoder:
     def dtype(self) -> str:
         return f"<u{self.width}"
 
-    def _cut(self, text: str) -> list[str]:
-        """Pieces that may be encoded alone, in order."""
+    def _plain(self, text: str) -> str | None:
+        """The text so that a cut at each blank gives pieces that may be encoded alone; None if that does not do."""
         if self.drops_space:
-            return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            return text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
         # printable texts hold no control character and no white space but blanks
-        if not text.replace("\n", " ").isprintable() and _odd_space.search(text):
-            return [text]
-        if "  " in text or "\0" in text:
-            return _pieces.findall(text)
-        return text.replace(" ", "\0 ").split("\0")  # a blank goes with what follows
+        if "  " in text or "\0" in text or (not text.replace("\n", " ").isprintable() and _odd_space.search(text)):
+            return None
+        return text
+
+    def _cut(self, text: str) -> list[str]:
+        """Pieces of a text that ``_plain`` refuses, in order."""
+        return [text] if _odd_space.search(text) else _pieces.findall(text)
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(pieces, add_special_tokens=False)
@@ -118,21 +124,66 @@ class Encoder:
         yield from self._encode(batch)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(t) for t in texts]
+        plain = [self._plain(t) for t in texts]
+        found: list[bytes] = [b""] * len(texts)
+        at = [i for i, t in enumerate(plain) if t is not None]
+        for i, ids in zip(at, self._encode_plain([plain[i] for i in at])):
+            found[i] = ids
+        others = [i for i, t in enumerate(plain) if t is None]
+        cut = [self._cut(texts[i]) for i in others]
+        table = self._table(set(chain.from_iterable(cut)))
+        for i, pieces in zip(others, cut):
+            found[i] = b"".join(map(table.__getitem__, pieces))
+        return found
+
+    def _encode_plain(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of texts that are cut at each blank: distinct pieces are looked up once, ids gathered by their codes."""
+        if not texts:
+            return
+        # a text's first piece has no blank in front of it; elsewhere the blank goes with what follows
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        bounds = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+        bounds -= bounds[0]
+        pieces = coded.dictionary.to_pylist()
+        if not self.drops_space:
+            firsts, inverse = np.unique(codes[bounds[:-1]], return_inverse=True)
+            codes[bounds[:-1]] = len(pieces) + inverse
+            pieces = [" " + x for x in pieces] + [pieces[c] for c in firsts]
+            used = np.bincount(codes, minlength=len(pieces)) > 0
+            pieces = [x if u else None for x, u in zip(pieces, used.tolist())]
+        table = self._table({x for x in pieces if x is not None})
+        values = [b"" if x is None else table[x] for x in pieces]
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.width
+        starts = np.cumsum(sizes) - sizes
+        each = sizes[codes]
+        until = np.cumsum(each)
+        places = np.repeat(starts[codes] - until + each, each) + np.arange(until[-1])
+        ids = np.frombuffer(b"".join(values), self.dtype)[places].tobytes()
+        ends = np.concatenate(([0], until))[bounds] * self.width
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            yield ids[a:b]
+
+    def _table(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of distinct pieces, from the tables or learned now; long pieces are not remembered."""
         if len(self.known) > REMEMBERED:
             self.known, self.old = {}, self.known
-        known, old, once, new = self.known, self.old, {}, []
-        for piece in set(chain.from_iterable(cut)):
-            if piece not in known:
-                if piece in old:
-                    known[piece] = old[piece]
-                else:
+        known, old, found, new = self.known, self.old, {}, []
+        for piece in pieces:
+            ids = known.get(piece)
+            if ids is None:
+                ids = old.get(piece)
+                if ids is None:
                     new.append(piece)
+                    continue
+                known[piece] = ids
+            found[piece] = ids
         for piece, ids in self._learn(new).items():
-            (known if len(piece) <= LONGEST else once)[piece] = ids
-        if once:
-            return [b"".join([known[x] if len(x) <= LONGEST else once[x] for x in pieces]) for pieces in cut]
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+            found[piece] = ids
+            if len(piece) <= LONGEST:
+                known[piece] = ids
+        return found
 
 
 _encoders: dict[str, Encoder] = {}

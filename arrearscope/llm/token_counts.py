@@ -4,7 +4,9 @@ A pre-token is a run without white space, with the word mark in front. The best
 segmentation of a prefix depends on the prefix alone, so the forward score of a
 trie node (best sum of piece scores, and the pieces it takes) is computed once for
 all pre-tokens that share it; the count at a pre-token's last node is stored and
-documents add up stored counts.
+documents add up stored counts. A node keeps the pieces of the vocabulary that are
+begun and not ended there, as nodes of a second trie over the pieces; the next
+character carries each of them one step on, so no substring is ever looked up.
 
 Scores: the vocabulary files carry ranks and no probabilities, so a piece of rank
 r has the Zipf score -ln(r + 1). A character that no piece covers counts as its
@@ -28,8 +30,11 @@ from arrearscope.llm.texts import need, without
 
 #: Word mark of the vocabulary, U+2581.
 MARK = "▁"
-#: Trie nodes a Python worker holds; beyond it the trie starts afresh.
-MOST_NODES = 400_000
+#: Trie nodes a Python worker holds; beyond it the trie starts afresh. Stored counts stay.
+MOST_NODES = 200_000
+#: Pre-tokens whose counts are stored in the young table of a worker. When it is full it
+#: becomes the old one; pre-tokens of the old table that come again move back.
+REMEMBERED = 300_000
 #: Characters of a pre-token that are kept in the trie; the rest is scored beside it.
 DEEPEST = 48
 #: Characters counted at a time.
@@ -47,69 +52,96 @@ def piece_scores(path: str) -> dict[str, float]:
 
 
 class Trie:
-    """Forward scores and piece counts of prefixes, each computed once."""
+    """Forward scores and piece counts of prefixes, each computed once.
+
+    A state of a prefix is (score, count, begun): its best score, the pieces that takes, and the pieces
+    begun in it, each as (node of the vocabulary, score and count in front of the piece).
+    """
 
     def __init__(self, scores: dict[str, float]):
-        self.scores = scores
-        self.longest = max(map(len, scores))
         self.unknown = min(scores.values()) - 10.0
+        #: Vocabulary as a trie: next node by character, and the score of the piece that ends there.
+        self.steps: list[dict[str, int]] = [{}]
+        self.ends: list[float | None] = [None]
+        for piece, score in scores.items():
+            node = 0
+            for char in piece:
+                node = self.steps[node].setdefault(char, len(self.steps))
+                if node == len(self.steps):
+                    self.steps.append({})
+                    self.ends.append(None)
+            self.ends[node] = score
+        self.terminal: dict[str, int] = {}
+        self.old: dict[str, int] = {}
         self.clear()
 
     def clear(self) -> None:
         self.children: list[dict[str, int]] = [{}]
-        self.best: list[float] = [0.0]
-        self.pieces: list[int] = [0]
-        self.terminal: dict[str, int] = {}
-
-    def _forward(self, token: str, end: int, best: list[float], pieces: list[int]) -> tuple[float, int]:
-        """Best score and count of ``token[:end]`` from those of all shorter prefixes."""
-        scores, last = self.scores, token[end - 1]
-        top, count = -math.inf, 0
-        for start in range(max(0, end - self.longest), end):
-            score = scores.get(token[start:end])
-            if score is not None:
-                score += best[start]
-                if score > top or (score == top and pieces[start] + 1 < count):
-                    top, count = score, pieces[start] + 1
-        if last not in scores and best[end - 1] + self.unknown > top:
-            top, count = best[end - 1] + self.unknown, pieces[end - 1] + len(last.encode("utf-8", "surrogatepass"))
-        return top, count
+        self.states: list[tuple] = [(0.0, 0, ())]
+
+    def _forward(self, state: tuple, char: str) -> tuple:
+        """State of a prefix from that of the prefix one character shorter."""
+        before, pieces, begun = state
+        steps, ends = self.steps, self.ends
+        top, count, onwards, alone = -math.inf, 0, [], False
+        for node, score, n in begun:
+            node = steps[node].get(char)
+            if node is not None:
+                onwards.append((node, score, n))
+                end = ends[node]
+                if end is not None and (score + end > top or (score + end == top and n + 1 < count)):
+                    top, count = score + end, n + 1
+        node = steps[0].get(char)
+        if node is not None:
+            onwards.append((node, before, pieces))
+            end = ends[node]
+            if end is not None:
+                alone = True
+                if before + end > top or (before + end == top and pieces + 1 < count):
+                    top, count = before + end, pieces + 1
+        if not alone and before + self.unknown > top:
+            top, count = before + self.unknown, pieces + len(char.encode("utf-8", "surrogatepass"))
+        return top, count, onwards
 
     def insert(self, token: str) -> int:
-        """Count of a pre-token; new nodes get their forward score on the way."""
-        node, best, pieces = 0, [0.0], [0]
-        for end, char in enumerate(token[:DEEPEST], start=1):
-            child = self.children[node].get(char)
+        """Count of a pre-token; new nodes get their state on the way."""
+        node, children, states = 0, self.children, self.states
+        for char in token[:DEEPEST]:
+            child = children[node].get(char)
             if child is None:
-                child = len(self.children)
-                self.children[node][char] = child
-                self.children.append({})
-                score, count = self._forward(token, end, best, pieces)
-                self.best.append(score)
-                self.pieces.append(count)
+                child = children[node][char] = len(children)
+                children.append({})
+                states.append(self._forward(states[node], char))
             node = child
-            best.append(self.best[node])
-            pieces.append(self.pieces[node])
-        for end in range(DEEPEST + 1, len(token) + 1):
-            score, count = self._forward(token, end, best, pieces)
-            best.append(score)
-            pieces.append(count)
-        return pieces[-1]
+        state = states[node]
+        for char in token[DEEPEST:]:
+            state = self._forward(state, char)
+        return state[1]
+
+    def _table(self, words: set[str]) -> dict[str, int]:
+        """Counts of distinct words, stored or found now; long words are not stored."""
+        if len(self.terminal) > REMEMBERED:
+            self.terminal, self.old = {}, self.terminal
+        known, old, found = self.terminal, self.old, {}
+        for word in words:
+            n = known.get(word)
+            if n is None:
+                n = old.get(word)
+                if n is None:
+                    if len(self.children) > MOST_NODES:
+                        self.clear()
+                    n = self.insert(MARK + word)
+                if len(word) < DEEPEST:
+                    known[word] = n
+            found[word] = n
+        return found
 
     def counts(self, texts: list[str]) -> Iterator[tuple[int, int]]:
         """(pre-tokens, tokens) of each text."""
         cut = [t.split() for t in texts]
-        if len(self.children) > MOST_NODES:
-            self.clear()
-        known, once = self.terminal, {}
-        for word in set(chain.from_iterable(cut)):
-            if word not in known:
-                (known if len(word) < DEEPEST else once)[word] = self.insert(MARK + word)
+        table = self._table(set(chain.from_iterable(cut)))
         for words in cut:
-            if once:
-                yield len(words), sum(once[w] if w in once else known[w] for w in words)
-            else:
-                yield len(words), sum(map(known.__getitem__, words))
+            yield len(words), sum(map(table.__getitem__, words))
 
 
 _tries: dict[str, Trie] = {}
