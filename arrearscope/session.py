@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -103,6 +103,15 @@ def tidy(spark: SparkSession) -> Iterator[None]:
             drop_path(spark, path)
 
 
+def apart(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A written table; those that were written on the way to it are dropped."""
+    path = scratch_path(spark, name)
+    with tidy(spark):
+        made = make()
+        made.write.parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
