@@ -55,13 +55,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     else:
         runs = [words[i:] for i in range(shingle)]
     shingles = map(b" ".join, zip(*runs))
-    n = len(runs[-1])
-    hashes = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), np.uint64, n)
+    return majority(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), np.uint64, len(runs[-1])))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Signed 64 bits, each set if it is in over half of the hashes."""
     ones = np.zeros(64, np.int64)
-    for at in range(0, n, AT_ONCE):
+    for at in range(0, len(hashes), AT_ONCE):
         part = hashes[at : at + AT_ONCE].astype("<u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
 
 
 def _fingerprints(shingle: int):

@@ -7,6 +7,7 @@ from itertools import combinations
 
 import corpus_pipeline
 
+from arrearscope.llm import near_copies, simhash
 from tests.llm.conftest import ODD_TEXTS, lower, prose, words
 
 
@@ -58,3 +59,29 @@ def test_equal_rows_and_null_keys(spark, make_docs):
     docs = make_docs((4, base), (4, base), (None, base), (None, f"{base} end"), (None, "alone"), (9, None), (8, ""))
     kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept) == [(0, "alone"), (4, base), (8, "")]
+
+
+def test_links_beside_the_smallest_of_a_band_are_kept(spark, make_docs):
+    """A document alike to its band's smallest one is linked to others of the band, too."""
+    rng = random.Random(23)
+    texts = []
+    for _ in range(40):
+        w = prose(rng, 55, 5000).split()
+        # 40, 50 and 51 shingles: the first and the last are not alike, the second is to both
+        texts += [" ".join(w[6:50]), " ".join(w[1:]), " ".join(w)]
+    rng.shuffle(texts)
+    docs = make_docs(*texts)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    want = plain_kept([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert sorted(r["doc_id"] for r in kept.collect()) == want and len(want) == 40
+
+
+def test_candidates_come_from_the_grid(make_docs):
+    """Texts within two bits of SimHash meet there."""
+    rng = random.Random(24)
+    base = prose(rng, 2000, 5000)
+    texts = [base, f"{base} end", prose(rng, 300, 5000), ""]
+    sets = [(str(i).encode(), simhash.majority(near_copies.shingles(t.encode()))) for i, t in enumerate(texts)]
+    spark = make_docs().sparkSession
+    pairs = near_copies._on_grid(spark.createDataFrame(sets, "node binary, sketch long")).collect()
+    assert [(bytes(r["a"]), bytes(r["node"])) for r in pairs] == [(b"0", b"1")]
