@@ -30,6 +30,8 @@ from arrearscope.llm.texts import need, without
 MARK = "▁"
 #: Trie nodes a Python worker holds; beyond it the trie starts afresh.
 MOST_NODES = 400_000
+#: Pre-tokens whose counts a Python worker holds, likewise.
+MOST_KNOWN = 600_000
 #: Characters of a pre-token that are kept in the trie; the rest is scored beside it.
 DEEPEST = 48
 #: Characters counted at a time.
@@ -53,24 +55,30 @@ class Trie:
         self.scores = scores
         self.longest = max(map(len, scores))
         self.unknown = min(scores.values()) - 10.0
+        #: Scores of all endings of pieces; an ending that is no piece has none.
+        self.endings: dict[str, float | None] = {p[i:]: None for p in scores for i in range(1, len(p))} | scores
+        self.terminal: dict[str, int] = {}
         self.clear()
 
     def clear(self) -> None:
+        """Forget the nodes; counts of pre-tokens stay."""
         self.children: list[dict[str, int]] = [{}]
         self.best: list[float] = [0.0]
         self.pieces: list[int] = [0]
-        self.terminal: dict[str, int] = {}
 
     def _forward(self, token: str, end: int, best: list[float], pieces: list[int]) -> tuple[float, int]:
         """Best score and count of ``token[:end]`` from those of all shorter prefixes."""
-        scores, last = self.scores, token[end - 1]
+        scores, endings, last = self.scores, self.endings, token[end - 1]
         top, count = -math.inf, 0
-        for start in range(max(0, end - self.longest), end):
-            score = scores.get(token[start:end])
-            if score is not None:
-                score += best[start]
-                if score > top or (score == top and pieces[start] + 1 < count):
-                    top, count = score, pieces[start] + 1
+        for start in range(end - 1, max(0, end - self.longest) - 1, -1):
+            score = endings.get(token[start:end], math.inf)
+            if score is None:
+                continue
+            if score == math.inf:
+                break  # no piece ends like this, so no longer one does
+            score += best[start]
+            if score > top or (score == top and pieces[start] + 1 < count):
+                top, count = score, pieces[start] + 1
         if last not in scores and best[end - 1] + self.unknown > top:
             top, count = best[end - 1] + self.unknown, pieces[end - 1] + len(last.encode("utf-8", "surrogatepass"))
         return top, count
@@ -101,6 +109,8 @@ class Trie:
         cut = [t.split() for t in texts]
         if len(self.children) > MOST_NODES:
             self.clear()
+        if len(self.terminal) > MOST_KNOWN:
+            self.terminal = {}
         known, once = self.terminal, {}
         for word in set(chain.from_iterable(cut)):
             if word not in known:

@@ -181,6 +181,15 @@ def test_the_trie_starts_afresh_with_equal_counts(monkeypatch):
     assert first == list(token_counts.Trie(scores).counts(texts))
 
 
+def test_counts_outlive_the_nodes(monkeypatch):
+    monkeypatch.setattr(token_counts, "MOST_NODES", 5)
+    trie = token_counts.Trie(token_counts.piece_scores(public_tokenizers.path(PIECES)))
+    first = list(trie.counts(["the trees, the trees"]))
+    monkeypatch.setattr(trie, "insert", lambda word: 1 / 0)  # nothing is scored twice
+    assert list(trie.counts(["the trees, the trees"])) == first
+    assert trie.endings["s"] is not None and "he" in trie.endings
+
+
 def test_clashing_columns_give_way(make_docs):
     docs = make_docs("a").withColumnRenamed("source", "n_tokens").withColumnRenamed("lang", "slot")
     [row] = token_counts.count(docs, public_tokenizers.path(PIECES)).collect()
