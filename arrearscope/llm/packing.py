@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -52,13 +53,13 @@ def difference(sizes: list[int], k: int) -> list[list[int]]:
         # position p of one meets position k-1-p of the other: the fullest meet the emptiest
         overlap = len(sums) + len(other) - k
         if overlap > 0:
-            kept = len(sums) - overlap
-            joined = [(sums[kept + j] + other[len(other) - 1 - j], groups[kept + j] + others[len(other) - 1 - j]) for j in range(overlap)]
-            rest = [*zip(sums[:kept], groups[:kept]), *zip(other[: len(other) - overlap], others[: len(other) - overlap])]
+            kept, alone = len(sums) - overlap, len(other) - overlap
+            joined = [*map(add, sums[kept:], other[: alone - 1 if alone else None : -1]), *sums[:kept], *other[:alone]]
+            parts = [*map(add, groups[kept:], others[: alone - 1 if alone else None : -1]), *groups[:kept], *others[:alone]]
         else:
-            joined, rest = [], [*zip(sums, groups), *zip(other, others)]
-        merged = sorted([*joined, *rest], key=lambda x: x[0], reverse=True)
-        sums, groups = [x[0] for x in merged], [x[1] for x in merged]
+            joined, parts = sums + other, groups + others
+        order = sorted(range(len(joined)), key=joined.__getitem__, reverse=True)
+        sums, groups = [joined[i] for i in order], [parts[i] for i in order]
         spread = sums[0] - (sums[-1] if len(sums) == k else 0)
         heapq.heappush(heap, (-spread, made, sums, groups))
         made += 1
