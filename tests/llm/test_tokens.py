@@ -107,6 +107,22 @@ def test_empty_tables(spark, make_docs):
     assert token_counts.count(empty, public_tokenizers.path(PIECES)).collect() == []
 
 
+def test_a_word_is_encoded_once_whatever_marks_and_line_feeds_stand_by_it(monkeypatch):
+    encoder = Encoder(PATHS[BYTE_TOKENIZER])
+    asked, whole = [], []
+    plain_word, plain_ids = encoder._word_ids, encoder._ids
+    monkeypatch.setattr(encoder, "_word_ids", lambda word: asked.append(word) or plain_word(word))
+    monkeypatch.setattr(encoder, "_ids", lambda pieces: whole.extend(pieces) or plain_ids(pieces))
+    text = "Anf lor, lor. lor; lor.\nAnf lor.\nÖlat lor"
+    (found,) = encoder.encode([text])
+    assert np.frombuffer(found, encoder.dtype).tolist() == whole_ids(BYTE_TOKENIZER, text)
+    assert sorted(asked) == [" lor", "Anf", "Ölat"]
+    assert sorted(whole) == ["\n", ",", ".", ";"]  # no piece that reaches over a line feed
+    for odd in ("a\n\n\nb", "a \nb", "a\n b\n", "\n\na\nb", "a\n\tb"):
+        (found,) = encoder.encode([odd])
+        assert np.frombuffer(found, encoder.dtype).tolist() == whole_ids(BYTE_TOKENIZER, odd)
+
+
 def test_differencing_balances():
     rng = random.Random(5)
     sizes = [rng.randint(1, 256) for _ in range(500)]
