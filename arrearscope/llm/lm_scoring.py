@@ -1,21 +1,30 @@
 """Language-model scores by a log-bilinear neural model with two words of context.
 
 Tokens are the lower-cased words of a text and one end. The model predicts a
-token's unit from the units of the two tokens before it, and the token from its unit:
+token's unit from the units of the two tokens before it, and inside the unit the
+token from the two tokens themselves:
 
-    p(w | context) = p(unit(w) | context) * (c(w) + 0.5) / mass(unit(w))
+    p(w | context) = p(unit(w) | context) * product of decisions on the way to w
 
 Units are the most frequent tokens, the most frequent word endings, and one for the
-rest, so every known and unknown token has one; a unit's mass has one more 0.5 for
-its unknown tokens, which makes the probabilities sum to one. The neural part gives
-units embeddings, predicts the next one's by a matrix per context position, and is
-trained in numpy with noise-contrastive estimation; one batched matrix product over
-all contexts then normalises it into a table.
+rest, so every known and unknown token has one. Their part gives units embeddings,
+predicts the next one's by a matrix per context position, and is trained in numpy
+with noise-contrastive estimation; one batched matrix product over all contexts then
+normalises it into a table.
+
+A unit's tokens are the leaves of a binary tree. Every token with ``LEARNED``
+occurrences among the ``FREQUENT`` commonest has a leaf and a vector as context; a
+unit's other tokens share one leaf, with one more 0.5 for unknown tokens, and part
+there by counts, (c + 0.5) / mass. A decision is the log ratio of the counts on its
+two sides plus the product of its vector and the context's, so without anything
+learned a unit's tokens have the probabilities of their counts, and with it all
+probabilities still sum to one. Vectors are learned on all training texts in the
+tasks that count units; a vector is the mean over tasks by its occurrences there.
 
 Everything gathered covers all training documents and grows with them: token counts
 (counted in tasks, added up in a shuffle) and counts of unit triples, at most
-``UNITS``^3. Counts of the ``FREQUENT`` commonest tokens (a bound in rows, and 64 bytes
-each) are broadcast; all other tokens meet their counts in a join.
+``UNITS``^3. Counts of the at most ``FREQUENT`` commonest tokens (a bound in rows, and
+64 bytes each) are broadcast; all other tokens meet their counts in a join.
 
 Defined results: a null text is an empty one, which has the end alone; repeated rows
 get equal results; null keys are in the fold of the empty key; with no training
@@ -28,6 +37,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from copy import copy
 from itertools import chain
 
 import numpy as np
@@ -49,6 +59,14 @@ UNITS = UNIT_WORDS + UNIT_ENDINGS + 1
 FREQUENT = 150_000
 LONGEST_FREQUENT = 64
 DIMENSIONS = 16
+#: Occurrences from which a token has a leaf and a vector of its own.
+LEARNED = 50
+#: Steps along the gradient of decisions: tokens at a time, size, and squares that damp the first ones.
+TOGETHER = 1024
+RATE = 0.3
+DAMPED = 20.0
+#: Tokens scored at a time.
+SCORED = 1 << 12
 STEPS = 1500
 BATCH = 1024
 NOISE = 48
@@ -139,14 +157,14 @@ def contexts(sequence: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     return one, two
 
 
-def _joined(units: Units, texts: list[bytes]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    """Tokens of the texts without ends, all units in a row with ends, and where texts start."""
+def _numbered(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct tokens (the end first), the places there of all tokens with ends in a row, and where texts start."""
     cut = [tokens(t) for t in texts]
-    unit_of = {w: units.of(w) for w in set(chain.from_iterable(cut))}
-    unit_of[END] = 0
+    names = [END, *set(chain.from_iterable(cut))]
+    number = {w: i for i, w in enumerate(names)}
     lengths = np.array([len(c) + 1 for c in cut])
-    row = np.fromiter(map(unit_of.__getitem__, chain.from_iterable(c + [END] for c in cut)), np.int64, int(lengths.sum()))
-    return cut, row, np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
+    row = np.fromiter(map(number.__getitem__, chain.from_iterable(c + [END] for c in cut)), np.int32, int(lengths.sum()))
+    return names, row, np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
 
 
 def _batches_of(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
@@ -161,16 +179,169 @@ def _batches_of(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
         at = end
 
 
-def _count_triples(units: Units):
+def _added(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of rows by group."""
+    width = values.shape[1]
+    return np.bincount((group[:, None] * width + np.arange(width)).ravel(), values.ravel(), n * width).reshape(n, width)
+
+
+def _sums(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct entries of ``at``, the sums of their values and how often they stand there."""
+    order = np.argsort(at)
+    ordered = at.take(order)
+    new = np.diff(ordered, prepend=-1) > 0
+    group = np.empty(len(at), np.int64)
+    group[order] = np.cumsum(new) - 1
+    found = ordered[new]
+    return found, _added(group, values, len(found)), np.bincount(group)
+
+
+class Decisions:
+    """Trees from units to tokens, and the vectors of decisions and context tokens."""
+
+    def __init__(self, units: Units, frequent: dict[bytes, int], seed: int = 2):
+        named = sorted((units.of(w), w) for w, n in frequent.items() if n >= LEARNED and w not in units.words)
+        # a unit's leaves are in a row: what has no leaf of its own, then tokens in byte order
+        unit = np.array([u for u, _ in named], np.int64)
+        leaf = np.arange(len(named)) + unit + 1
+        self.leaves = dict(zip((w for _, w in named), leaf.tolist()))
+        first = np.arange(UNITS) + np.searchsorted(unit, np.arange(UNITS))
+        self.rest = first
+        mass = np.zeros(UNITS + len(named))
+        mass[leaf] = [frequent[w] + 0.5 for _, w in named]
+        mass[first] = units.mass - np.bincount(unit, mass[leaf], UNITS)
+        self.units = np.zeros(len(mass), np.int64)
+        self.units[first], self.units[leaf] = np.arange(UNITS), unit
+        self._grow(mass, first)
+        # the first half of a vector is a token's as the last one, the second half as the one before
+        random = np.random.default_rng(seed).normal(0, 1, (UNITS, DIMENSIONS)).astype(np.float32)
+        self.context = random[self.units]
+        self.vectors = np.zeros((len(self.prior), DIMENSIONS), np.float32)
+
+    def _grow(self, mass: np.ndarray, first: np.ndarray) -> None:
+        """Cuts each unit's row of leaves near the middle of its mass, and the parts again, level by level."""
+        until = np.concatenate(([0.0], np.cumsum(mass)))
+        low, high = first, np.append(first[1:], len(mass))
+        leaves, nodes, sides, priors, made = [], [], [], [], 0
+        while len(low):
+            cut = high - low > 1
+            low, high = low[cut], high[cut]
+            half = (until[low] + until[high]) / 2
+            mid = np.searchsorted(until, half)
+            mid -= until[mid] - half > half - until[mid - 1]
+            mid = np.clip(mid, low + 1, high - 1)
+            length = high - low
+            leaf = np.arange(length.sum()) + np.repeat(low - np.cumsum(length) + length, length)
+            leaves.append(leaf)
+            nodes.append(np.repeat(np.arange(len(low)) + made, length))
+            sides.append(leaf >= np.repeat(mid, length))
+            priors.append(np.log((until[high] - until[mid]) / (until[mid] - until[low])))
+            made += len(low)
+            low, high = np.concatenate((low, mid)), np.concatenate((mid, high))
+        leaf = np.concatenate(leaves)
+        order = np.argsort(leaf, kind="stable")
+        self.nodes = np.concatenate(nodes)[order].astype(np.int32)
+        self.sides = np.where(np.concatenate(sides)[order], 1, -1).astype(np.float32)
+        self.length = np.bincount(leaf, minlength=len(mass))
+        self.starts = np.cumsum(self.length) - self.length
+        self.prior = np.concatenate(priors).astype(np.float32)
+
+    def of(self, token: bytes, unit: int) -> int:
+        return self.leaves.get(token) or int(self.rest[unit])
+
+    def _ways(self, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For every decision on the way to each leaf: place of the leaf, place of the decision."""
+        length = self.length[leaf]
+        token = np.repeat(np.arange(len(leaf)), length)
+        return token, np.arange(len(token)) + (self.starts[leaf] - np.cumsum(length) + length)[token]
+
+    def _seen(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        half = DIMENSIONS // 2
+        return np.concatenate((self.context.take(one, axis=0)[:, :half], self.context.take(two, axis=0)[:, half:]), axis=1)
+
+    def gains(self, leaf: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Natural logs of the leaves' probabilities in their units, less those by counts alone."""
+        found = np.zeros(len(leaf))
+        inner = np.flatnonzero(self.length[leaf])
+        for start in range(0, len(inner), SCORED):
+            at = inner[start : start + SCORED]
+            token, way = self._ways(leaf[at])
+            node, side = self.nodes.take(way), self.sides.take(way)
+            prior = side * self.prior.take(node)
+            seen = self._seen(one[at], two[at]).take(token, axis=0)
+            learned = prior + side * np.einsum("ij,ij->i", seen, self.vectors.take(node, axis=0))
+            gain = np.log1p(np.exp(-prior)) - np.log1p(np.exp(np.minimum(-learned, 80)))
+            found[at] = np.bincount(token, gain, len(at))
+        return found
+
+    def gradients(self, leaf: np.ndarray, one: np.ndarray, two: np.ndarray):
+        """Of the log-probability of leaves: by decision and by context token, as ``_sums``."""
+        half = DIMENSIONS // 2
+        token, way = self._ways(leaf)
+        node, side = self.nodes.take(way), self.sides.take(way)
+        seen, vectors = self._seen(one, two).take(token, axis=0), self.vectors.take(node, axis=0)
+        z = side * (self.prior.take(node) + np.einsum("ij,ij->i", seen, vectors))
+        wrong = (side * 0.5 * (1 - np.tanh(0.5 * z)))[:, None]
+        by_token = _added(token, wrong * vectors, len(leaf))
+        by_context = np.zeros((2 * len(leaf), DIMENSIONS), np.float32)
+        by_context[: len(leaf), :half], by_context[len(leaf) :, half:] = by_token[:, :half], by_token[:, half:]
+        return _sums(node, wrong * seen), _sums(np.concatenate((one, two)), by_context)
+
+
+class Learner:
+    """One task's copy of the vectors, moved along the gradient with damped steps."""
+
+    def __init__(self, shared: Decisions):
+        self.own = copy(shared)
+        self.before = shared.vectors, shared.context
+        self.own.vectors, self.own.context = shared.vectors.copy(), shared.context.copy()
+        self.squares = [np.full(len(v), DAMPED, np.float32) for v in self.before]
+        self.seen = [np.zeros(len(v), np.int64) for v in self.before]
+        self.rng = np.random.default_rng(3)
+
+    def learn(self, leaf: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
+        inner = self.rng.permutation(np.flatnonzero(self.own.length[leaf]))
+        for start in range(0, len(inner), TOGETHER):
+            at = inner[start : start + TOGETHER]
+            found = self.own.gradients(leaf[at], one[at], two[at])
+            for value, squares, seen, (rows, gradient, n) in zip((self.own.vectors, self.own.context), self.squares, self.seen, found):
+                squares[rows] += np.square(gradient).mean(axis=1)
+                value[rows] += RATE * gradient / np.sqrt(squares[rows])[:, None]
+                seen[rows] += n
+
+    def moved(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of decisions and then of contexts: those met, how often, and their moves times that."""
+        for value, before, seen in zip((self.own.vectors, self.own.context), self.before, self.seen):
+            rows = np.flatnonzero(seen)
+            yield rows, seen[rows], (value[rows] - before[rows]) * seen[rows, None]
+
+
+_MOVES = [f"v{i}" for i in range(DIMENSIONS)]
+#: What rows of a training task are about.
+_TRIPLES, _DECISIONS, _CONTEXTS = 0, 1, 2
+
+
+def _train(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units, decisions = shared.value
+        learner = Learner(decisions)
         counts = np.zeros(UNITS**3, np.int64)
         for batch in batches:
             for _, texts in _batches_of(batch.column(0).to_pylist()):
-                _, row, starts = _joined(units, texts)
-                one, two = contexts(row, starts)
-                counts += np.bincount((two * UNITS + one) * UNITS + row, minlength=UNITS**3)
+                names, row, starts = _numbered(texts)
+                unit_of = np.array([units.of(w) for w in names])
+                leaf_of = np.array([decisions.of(w, u) for w, u in zip(names, unit_of.tolist())])
+                unit, leaf = unit_of[row], leaf_of[row]
+                one, two = contexts(unit, starts)
+                counts += np.bincount((two * UNITS + one) * UNITS + unit, minlength=UNITS**3)
+                learner.learn(leaf, *contexts(leaf, starts))
         found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(counts[found], pa.int64())], names=["triple", "n"])
+        parts = [(found, counts[found], np.zeros((len(found), DIMENSIONS))), *learner.moved()]
+        for kind, (rows, n, moves) in enumerate(parts):
+            for at in range(0, len(rows), 20_000):
+                part = slice(at, at + 20_000)
+                columns = [np.full(len(rows[part]), kind, np.int32), rows[part], n[part], *moves[part].T.astype(np.float64)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["kind", "id", "n", *_MOVES])
 
     return run
 
@@ -239,8 +410,10 @@ class LogBilinear:
 class Model:
     """What scoring needs in a task: bounded tables only."""
 
-    def __init__(self, units: Units, table: np.ndarray, frequent: dict[bytes, int], total: int, distinct: int):
-        self.units, self.frequent, self.total, self.distinct = units, frequent, total, distinct
+    def __init__(
+        self, units: Units, decisions: Decisions, table: np.ndarray, frequent: dict[bytes, int], total: int, distinct: int
+    ):
+        self.units, self.decisions, self.frequent, self.total, self.distinct = units, decisions, frequent, total, distinct
         self.unit_logs = (table / math.log(10) - np.log10(units.mass)).astype(np.float32)
 
 
@@ -249,7 +422,11 @@ def fit(spark, counts: DataFrame, training: DataFrame, steps: int = STEPS) -> Mo
     is_end = F.col("token") == F.lit(END)
     total, distinct, ends = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.sum(F.when(is_end, F.col("n")))).first()
     short = counts.filter(F.octet_length("token") <= LONGEST_FREQUENT)
-    frequent = {bytes(r["token"]): r["n"] for r in short.orderBy(F.desc("n"), "token").limit(FREQUENT).collect()}
+    # distinct counts are few; the least one that at most FREQUENT tokens reach
+    reached = short.groupBy("n").count().orderBy(F.desc("n")).limit(FREQUENT).toPandas()
+    above = reached["n"][reached["count"].cumsum() <= FREQUENT].min() if len(reached) else None
+    common = short.filter(F.col("n") >= int(above)).collect() if above == above and above is not None else []
+    frequent = {bytes(r["token"]): r["n"] for r in sorted(common, key=lambda r: (-r["n"], r["token"]))}
     if ends:
         frequent[END] = ends
     words = [(END, ends or 0)] + [(w, n) for w, n in frequent.items() if w != END][: UNIT_WORDS - 1]
@@ -259,13 +436,21 @@ def fit(spark, counts: DataFrame, training: DataFrame, steps: int = STEPS) -> Mo
         F.sum("n").alias("n"), F.sum("kinds").alias("kinds")
     )  # at most 65,793 endings of up to two bytes
     units = Units(words, [(bytes(r["ending"]), r["n"], r["kinds"]) for r in endings.collect()])
-    triples = training.select("t").mapInArrow(_count_triples(units), "triple long, n long").groupBy("triple").agg(F.sum("n").alias("n"))
-    found = triples.toPandas()  # at most UNITS^3 rows
+    decisions = Decisions(units, frequent)
+    done = training.select("t").mapInArrow(
+        _train(spark.sparkContext.broadcast((units, decisions))), f"kind int, id long, n long, {', '.join(f'{v} double' for v in _MOVES)}"
+    )
+    summed = done.groupBy("kind", "id").agg(F.sum("n").alias("n"), *[F.sum(v).cast("float").alias(v) for v in _MOVES])
+    summed = written(summed, "lm-sums")
     neural = LogBilinear(units.used)
+    found = summed.filter(F.col("kind") == _TRIPLES).select("id", "n").toPandas()  # at most UNITS^3 rows
     if len(found):
-        found = found.sort_values("triple")
-        neural.train(found["triple"].to_numpy(), found["n"].to_numpy(float), steps)
-    return Model(units, neural.table(), frequent, int(total), int(distinct))
+        found = found.sort_values("id")
+        neural.train(found["id"].to_numpy(), found["n"].to_numpy(float), steps)
+    for kind, values in ((_DECISIONS, decisions.vectors), (_CONTEXTS, decisions.context)):
+        moved = summed.filter(F.col("kind") == kind).toPandas()  # at most 2 FREQUENT rows
+        values[moved["id"]] += moved[_MOVES].to_numpy(np.float32) / moved["n"].to_numpy(np.float32)[:, None]
+    return Model(units, decisions, neural.table(), frequent, int(total), int(distinct))
 
 
 _ROWS = "n_tokens long, n_known long, log_count double, unit_log double, rare array<struct<token:binary,n:long>>"
@@ -274,28 +459,41 @@ _ROWS = "n_tokens long, n_known long, log_count double, unit_log double, rare ar
 def _scorer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        rare_type = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
+        end = model.frequent.get(END)
         for batch in batches:
-            n, known, log_count, unit_log, rare = [], [], [], [], []
+            parts = []
             for _, texts in _batches_of(batch.column(2).to_pylist()):
-                cut, row, starts = _joined(model.units, texts)
-                one, two = contexts(row, starts)
-                unit_log += np.add.reduceat(model.unit_logs[two, one, row], starts, dtype=np.float64).tolist()
-                words = set(chain.from_iterable(cut))
-                logs = {w: math.log10(c + 0.5) for w in words if (c := model.frequent.get(w)) is not None}
-                end = model.frequent.get(END)
-                for c in cut:
-                    there = [x for w in c if (x := logs.get(w)) is not None]
-                    n.append(len(c) + 1)
-                    known.append(len(there) + (end is not None))
-                    log_count.append(math.fsum(there) + math.log10((end or 0) + 0.5))
-                    left = Counter(w for w in c if w not in logs) if len(there) < len(c) else {}
-                    rare.append([{"token": w, "n": k} for w, k in left.items()])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(log_count, pa.float64()), pa.array(unit_log, pa.float64()), pa.array(rare, rare_type)],
-                names=["key", "held_out", "n_tokens", "n_known", "log_count", "unit_log", "rare"],
-            )
+                names, row, starts = _numbered(texts)
+                unit_of = np.array([model.units.of(w) for w in names])
+                leaf_of = np.array([model.decisions.of(w, u) for w, u in zip(names, unit_of.tolist())])
+                count_of = np.array([model.frequent.get(w, -1) for w in names])
+                there = count_of >= 0
+                log_of = np.where(there, np.log10(np.maximum(count_of, 0) + 0.5), 0.0)
+                if end is None:
+                    log_of[0] = math.log10(0.5)
+                unit, leaf = unit_of[row], leaf_of[row]
+                one, two = contexts(unit, starts)
+                unit_log = np.add.reduceat(model.unit_logs[two, one, unit], starts, dtype=np.float64)
+                unit_log += np.add.reduceat(model.decisions.gains(leaf, *contexts(leaf, starts)), starts) / math.log(10)
+                n = np.diff(np.append(starts, len(row)))
+                # other tokens per text, each with its number there
+                text_of = np.repeat(np.arange(len(texts)), n)
+                left = np.flatnonzero(~there[row] & (row > 0))
+                pairs, often = np.unique(text_of[left] * len(names) + row[left], return_counts=True)
+                ends = np.searchsorted(pairs, np.arange(len(texts) + 1) * len(names))
+                rare = pa.StructArray.from_arrays(
+                    [pa.array(list(map(names.__getitem__, (pairs % len(names)).tolist())), pa.binary()), pa.array(often, pa.int64())], ["token", "n"]
+                )
+                parts.append(
+                    [pa.array(n, pa.int64()), pa.array(np.add.reduceat(there[row].astype(np.int64), starts)),
+                     pa.array(np.add.reduceat(log_of[row], starts)), pa.array(unit_log),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare)]
+                )
+            if parts:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), *(pa.concat_arrays(p) for p in zip(*parts))],
+                    names=["key", "held_out", "n_tokens", "n_known", "log_count", "unit_log", "rare"],
+                )
 
     return run
 

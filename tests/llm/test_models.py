@@ -129,6 +129,65 @@ def test_probabilities_sum_to_one():
     assert total == pytest.approx(1.0)
 
 
+def some_decisions(monkeypatch) -> tuple:
+    monkeypatch.setattr(lm_scoring, "LEARNED", 2)
+    words_ = [(lm_scoring.END, 7), (b"the", 20)]
+    others = {b"king": 3, b"ring": 2, b"thing": 9, b"sing": 1, b"cat": 4, b"odd": 1}
+    n, kinds = Counter(), Counter()
+    for w, c in others.items():
+        n[lm_scoring.ending(w)] += c
+        kinds[lm_scoring.ending(w)] += 1
+    monkeypatch.setattr(lm_scoring, "UNIT_ENDINGS", 1)  # all but -ng share the unit of the rest
+    units = lm_scoring.Units(words_, [(e, n[e], kinds[e]) for e in n])
+    found = lm_scoring.Decisions(units, dict(words_) | others)
+    found.vectors = np.random.default_rng(4).normal(0, 0.5, found.vectors.shape)
+    return units, found, dict(words_) | others
+
+
+def test_decisions_share_out_all_of_a_unit(monkeypatch):
+    units, found, counts = some_decisions(monkeypatch)
+    leaf = np.array([found.of(w, units.of(w)) for w in counts])
+    assert len(set(leaf[[units.of(w) == units.of(b"king") for w in counts]])) == 4  # three tokens and the rest
+    for one, two in ((0, 0), (5, 61), (60, 3)):
+        gains = np.exp(found.gains(leaf, np.full(len(leaf), one), np.full(len(leaf), two)))
+        rest = np.exp(found.gains(found.rest, np.full(len(found.rest), one), np.full(len(found.rest), two)))
+        for unit in {units.of(w) for w in counts}:
+            total = sum(g * (c + 0.5) / units.mass[unit] for g, (w, c) in zip(gains, counts.items()) if units.of(w) == unit)
+            total += 0.5 / units.mass[unit] * rest[unit] if unit >= lm_scoring.UNIT_WORDS else 0
+            assert total == pytest.approx(1.0, abs=1e-5)
+
+
+def test_gradients_of_decisions_equal_differences(monkeypatch):
+    units, found, counts = some_decisions(monkeypatch)
+    found.context = found.context.astype(np.float64)
+    leaf = np.array([found.of(w, units.of(w)) for w in (b"king", b"thing", b"cat", b"sing", b"king")])
+    one, two = np.array([3, 3, 9, 60, 2]), np.array([4, 3, 2, 1, 60])
+    for value, (rows, gradient, _) in zip((found.vectors, found.context), found.gradients(leaf, one, two)):
+        for row, of_row in zip(rows, gradient):
+            for d in range(lm_scoring.DIMENSIONS):
+                kept = value[row, d]
+                value[row, d] = kept + 1e-3
+                above = found.gains(leaf, one, two).sum()
+                value[row, d] = kept - 1e-3
+                below = found.gains(leaf, one, two).sum()
+                value[row, d] = kept
+                assert of_row[d] == pytest.approx((above - below) / 2e-3, rel=1e-3, abs=1e-5)
+
+
+def test_context_tells_tokens_of_one_unit_apart(make_docs, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "UNIT_WORDS", 1)
+    monkeypatch.setattr(lm_scoring, "UNIT_ENDINGS", 95 - 1)
+    letters = "bcdfghjklm"
+    filling = " ".join(f"w{a}{b}" for a in letters for b in letters for _ in range(12))  # their endings are the units
+    trained = [k for k in range(200) if fold(k, 5) != 1][:40]
+    one, other = [k for k in range(200) if fold(k, 5) == 1][:2]
+    pairs = [(k, " ".join(["qxa zza qxb zzb"] * 5) + " " + filling) for k in trained]
+    docs = make_docs(*pairs, (one, "qxa zza qxb zzb"), (other, "qxa zzb qxb zza"))
+    rows = {r["doc_id"]: r for r in lm_scoring.score(docs, steps=30).filter("held_out").collect()}
+    assert rows[one]["base_score"] == pytest.approx(rows[other]["base_score"])
+    assert rows[one]["score"] > rows[other]["score"] + 0.1  # equal when units are all that is known
+
+
 def test_the_model_beats_its_base_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
     held = lm_scoring.score(docs).filter("held_out").collect()
