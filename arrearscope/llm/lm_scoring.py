@@ -19,7 +19,8 @@ there by counts, (c + 0.5) / mass. A decision is the log ratio of the counts on
 two sides plus the product of its vector and the context's, so without anything
 learned a unit's tokens have the probabilities of their counts, and with it all
 probabilities still sum to one. Vectors are learned on all training texts in the
-tasks that count units; a vector is the mean over tasks by its occurrences there.
+tasks that count units; a vector moves by the mean over tasks, by its occurrences there.
+Tasks pass moves on in half precision, in rows of ``BLOCK`` ids.
 
 Everything gathered covers all training documents and grows with them: token counts
 (counted in tasks, added up in a shuffle) and counts of unit triples, at most
@@ -38,9 +39,10 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from copy import copy
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -157,14 +159,10 @@ def contexts(sequence: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     return one, two
 
 
-def _numbered(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Distinct tokens (the end first), the places there of all tokens with ends in a row, and where texts start."""
-    cut = [tokens(t) for t in texts]
-    names = [END, *set(chain.from_iterable(cut))]
-    number = {w: i for i, w in enumerate(names)}
-    lengths = np.array([len(c) + 1 for c in cut])
-    row = np.fromiter(map(number.__getitem__, chain.from_iterable(c + [END] for c in cut)), np.int32, int(lengths.sum()))
-    return names, row, np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
+def _in_a_row(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """All tokens with ends, and where texts start."""
+    cut = [[*tokens(t), END] for t in texts]
+    return list(chain.from_iterable(cut)), np.cumsum([0, *map(len, cut[:-1])])
 
 
 def _batches_of(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
@@ -179,21 +177,44 @@ def _batches_of(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
         at = end
 
 
-def _added(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Sums of rows by group."""
-    width = values.shape[1]
-    return np.bincount((group[:, None] * width + np.arange(width)).ravel(), values.ravel(), n * width).reshape(n, width)
+def _runs(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct entries of ``at``, the order that puts equal ones together, where each one's run starts and its length, longest first."""
+    placed = np.sort(at.astype(np.int64) << 32 | np.arange(len(at)))
+    entry = placed >> 32
+    starts = np.concatenate(([0], np.flatnonzero(entry[1:] != entry[:-1]) + 1))
+    n = np.append(starts[1:], len(at)) - starts
+    longest = np.argsort(-n)
+    starts = starts.take(longest)
+    return entry.take(starts), placed & 0xFFFFFFFF, starts, n.take(longest)
 
 
-def _sums(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct entries of ``at``, the sums of their values and how often they stand there."""
-    order = np.argsort(at)
-    ordered = at.take(order)
-    new = np.diff(ordered, prepend=-1) > 0
-    group = np.empty(len(at), np.int64)
-    group[order] = np.cumsum(new) - 1
-    found = ordered[new]
-    return found, _added(group, values, len(found)), np.bincount(group)
+def _sums(values: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows, longest first. Most runs are short, so all take their next row together, and few long ones are left."""
+    sums = values.take(starts, axis=0)
+    longer = (len(n) - np.cumsum(np.bincount(n))).tolist()  # runs of more rows than that
+    taken = 1
+    while (left := longer[taken]) > 64:
+        sums[:left] += values.take(starts[:left] + taken, axis=0)
+        taken += 1
+    if left:
+        more = n[:left] - taken
+        first = np.cumsum(more) - more
+        rest = values.take(np.arange(more.sum()) + np.repeat(starts[:left] + taken - first, more), axis=0)
+        sums[:left] += np.add.reduceat(rest, first, axis=0)
+    return sums
+
+
+class Leaves(dict):
+    """Leaf of every token: its own, or the one its unit's other tokens share."""
+
+    def __init__(self, units: Units, own: dict[bytes, int], rest: list[int]):
+        super().__init__(own)
+        self.update((w, rest[u]) for w, u in units.words.items())
+        self.endings = {e: rest[u] for e, u in units.endings.items()}
+        self.last = rest[UNITS - 1]
+
+    def __missing__(self, token: bytes) -> int:
+        return self.endings.get(ending(token), self.last)
 
 
 class Decisions:
@@ -204,9 +225,9 @@ class Decisions:
         # a unit's leaves are in a row: what has no leaf of its own, then tokens in byte order
         unit = np.array([u for u, _ in named], np.int64)
         leaf = np.arange(len(named)) + unit + 1
-        self.leaves = dict(zip((w for _, w in named), leaf.tolist()))
         first = np.arange(UNITS) + np.searchsorted(unit, np.arange(UNITS))
         self.rest = first
+        self.leaves = Leaves(units, dict(zip((w for _, w in named), leaf.tolist())), first.tolist())
         mass = np.zeros(UNITS + len(named))
         mass[leaf] = [frequent[w] + 0.5 for _, w in named]
         mass[first] = units.mass - np.bincount(unit, mass[leaf], UNITS)
@@ -245,6 +266,10 @@ class Decisions:
         self.length = np.bincount(leaf, minlength=len(mass))
         self.starts = np.cumsum(self.length) - self.length
         self.prior = np.concatenate(priors).astype(np.float32)
+        # of each decision on a way, its log odds by counts; of each leaf, minus the log of its share by counts
+        self.odds = self.sides * self.prior.take(self.nodes)
+        until = np.concatenate(([0.0], np.cumsum(np.log1p(np.exp(-self.odds.astype(np.float64))))))
+        self.by_counts = until[self.starts + self.length] - until[self.starts]
 
     def of(self, token: bytes, unit: int) -> int:
         return self.leaves.get(token) or int(self.rest[unit])
@@ -259,33 +284,59 @@ class Decisions:
         half = DIMENSIONS // 2
         return np.concatenate((self.context.take(one, axis=0)[:, :half], self.context.take(two, axis=0)[:, half:]), axis=1)
 
+    def _blocks(self, leaf: np.ndarray) -> list[tuple[slice, slice, tuple]]:
+        """Of leaves by the length of their ways: those of one length, their decisions, and the shape of these."""
+        length = self.length[leaf]
+        starts = np.concatenate(([0], np.flatnonzero(length[1:] != length[:-1]) + 1))
+        blocks, at = [], 0
+        for a, b, n in zip(starts.tolist(), [*starts[1:].tolist(), len(leaf)], length[starts].tolist()):
+            blocks.append((slice(a, b), slice(at, at := at + (b - a) * n), (b - a, n, DIMENSIONS)))
+        return blocks
+
     def gains(self, leaf: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Natural logs of the leaves' probabilities in their units, less those by counts alone."""
         found = np.zeros(len(leaf))
         inner = np.flatnonzero(self.length[leaf])
+        # ways of one length are a block of equal rows, and equal leaves read the same vectors
+        inner = inner[np.argsort(self.length[leaf[inner]] << 32 | leaf[inner])]
         for start in range(0, len(inner), SCORED):
             at = inner[start : start + SCORED]
-            token, way = self._ways(leaf[at])
-            node, side = self.nodes.take(way), self.sides.take(way)
-            prior = side * self.prior.take(node)
-            seen = self._seen(one[at], two[at]).take(token, axis=0)
-            learned = prior + side * np.einsum("ij,ij->i", seen, self.vectors.take(node, axis=0))
-            gain = np.log1p(np.exp(-prior)) - np.log1p(np.exp(np.minimum(-learned, 80)))
-            found[at] = np.bincount(token, gain, len(at))
+            _, way = self._ways(leaf[at])
+            seen, vectors = self._seen(one[at], two[at]), self.vectors.take(self.nodes.take(way), axis=0)
+            z = np.empty(len(way), vectors.dtype)
+            blocks = self._blocks(leaf[at])
+            for tokens_, ways, shape in blocks:
+                np.matmul(vectors[ways].reshape(shape), seen[tokens_, :, None], out=z[ways].reshape(*shape[:2], 1))
+            z *= self.sides.take(way)
+            z += self.odds.take(way)
+            z = np.log(1 + np.exp(np.minimum(-z, 80)))
+            for tokens_, ways, shape in blocks:
+                found[at[tokens_]] = self.by_counts[leaf[at[tokens_]]] - z[ways].reshape(shape[:2]).sum(axis=1)
         return found
 
     def gradients(self, leaf: np.ndarray, one: np.ndarray, two: np.ndarray):
-        """Of the log-probability of leaves: by decision and by context token, as ``_sums``."""
+        """Of the log-probability of leaves, all with decisions: by decision and by context token, as (those met, sums, how often)."""
         half = DIMENSIONS // 2
+        by_length = np.argsort(self.length[leaf])
+        leaf, one, two = leaf[by_length], one[by_length], two[by_length]
         token, way = self._ways(leaf)
         node, side = self.nodes.take(way), self.sides.take(way)
-        seen, vectors = self._seen(one, two).take(token, axis=0), self.vectors.take(node, axis=0)
-        z = side * (self.prior.take(node) + np.einsum("ij,ij->i", seen, vectors))
-        wrong = (side * 0.5 * (1 - np.tanh(0.5 * z)))[:, None]
-        by_token = _added(token, wrong * vectors, len(leaf))
+        seen, vectors = self._seen(one, two), self.vectors.take(node, axis=0)
+        z, by_token = np.empty(len(way), vectors.dtype), np.empty(seen.shape, vectors.dtype)
+        blocks = self._blocks(leaf)
+        for tokens_, ways, shape in blocks:
+            np.matmul(vectors[ways].reshape(shape), seen[tokens_, :, None], out=z[ways].reshape(*shape[:2], 1))
+        wrong = side * 0.5 * (1 - np.tanh(0.5 * (self.odds.take(way) + side * z)))
+        for tokens_, ways, shape in blocks:
+            np.matmul(wrong[ways].reshape(shape[0], 1, shape[1]), vectors[ways].reshape(shape), out=by_token[tokens_, None])
+        found, order, starts, n = _runs(node)
+        by_decision = seen.take(token.take(order), axis=0)
+        by_decision *= wrong.take(order)[:, None]
+        yield found, _sums(by_decision, starts, n), n
+        found, order, starts, n = _runs(np.concatenate((one, two)))
         by_context = np.zeros((2 * len(leaf), DIMENSIONS), np.float32)
         by_context[: len(leaf), :half], by_context[len(leaf) :, half:] = by_token[:, :half], by_token[:, half:]
-        return _sums(node, wrong * seen), _sums(np.concatenate((one, two)), by_context)
+        yield found, _sums(by_context.take(order, axis=0), starts, n), n
 
 
 class Learner:
@@ -295,6 +346,8 @@ class Learner:
         self.own = copy(shared)
         self.before = shared.vectors, shared.context
         self.own.vectors, self.own.context = shared.vectors.copy(), shared.context.copy()
+        # a row is one value, which is faster to put
+        self.rows = [v.view(f"V{v.itemsize * DIMENSIONS}")[:, 0] for v in (self.own.vectors, self.own.context)]
         self.squares = [np.full(len(v), DAMPED, np.float32) for v in self.before]
         self.seen = [np.zeros(len(v), np.int64) for v in self.before]
         self.rng = np.random.default_rng(3)
@@ -303,22 +356,64 @@ class Learner:
         inner = self.rng.permutation(np.flatnonzero(self.own.length[leaf]))
         for start in range(0, len(inner), TOGETHER):
             at = inner[start : start + TOGETHER]
-            found = self.own.gradients(leaf[at], one[at], two[at])
-            for value, squares, seen, (rows, gradient, n) in zip((self.own.vectors, self.own.context), self.squares, self.seen, found):
-                squares[rows] += np.square(gradient).mean(axis=1)
-                value[rows] += RATE * gradient / np.sqrt(squares[rows])[:, None]
+            found = list(self.own.gradients(leaf[at], one[at], two[at]))
+            for value, put, squares, seen, (rows, gradient, n) in zip(
+                (self.own.vectors, self.own.context), self.rows, self.squares, self.seen, found
+            ):
+                damped = squares.take(rows) + np.einsum("ij,ij->i", gradient, gradient) / DIMENSIONS
+                squares[rows] = damped
+                gradient *= (RATE / np.sqrt(damped))[:, None]
+                gradient += value.take(rows, axis=0)
+                put[rows] = gradient.view(put.dtype)[:, 0]
                 seen[rows] += n
 
     def moved(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Of decisions and then of contexts: those met, how often, and their moves times that."""
+        """Of decisions and then of contexts: those met, how often, and their moves."""
         for value, before, seen in zip((self.own.vectors, self.own.context), self.before, self.seen):
             rows = np.flatnonzero(seen)
-            yield rows, seen[rows], (value[rows] - before[rows]) * seen[rows, None]
+            yield rows, seen[rows], value[rows] - before[rows]
 
 
-_MOVES = [f"v{i}" for i in range(DIMENSIONS)]
 #: What rows of a training task are about.
 _TRIPLES, _DECISIONS, _CONTEXTS = 0, 1, 2
+#: Ids whose counts and moves are a row together; as many at any size.
+BLOCK = 2048
+_BLOCKS = "kind int, block int, ids binary, n binary, moves binary"
+
+
+def _blocks(kind: int, ids: np.ndarray, n: np.ndarray, moves: np.ndarray | None) -> Iterator[tuple]:
+    """Rows of ascending ids: places in their block, counts, and moves in half precision."""
+    block = ids // BLOCK
+    starts = np.flatnonzero(np.diff(block, prepend=-1) > 0)
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)]):
+        width = 4 if n[a:b].max() < 1 << 32 else 8
+        yield (
+            kind, int(block[a]), (ids[a:b] % BLOCK).astype("<u2").tobytes(), n[a:b].astype(f"<u{width}").tobytes(),
+            b"" if moves is None else moves[a:b].astype("<f2").tobytes(),
+        )
+
+
+def _summed(rows: pd.DataFrame) -> pd.DataFrame:
+    """One block over all tasks: counts, and the mean move by occurrences (in single precision)."""
+    kind = int(rows["kind"].iloc[0])
+    total = np.zeros(BLOCK, np.int64)
+    moves = np.zeros((BLOCK, DIMENSIONS))
+    for ids, n, moved in zip(rows["ids"], rows["n"], rows["moves"]):
+        ids = np.frombuffer(ids, "<u2")
+        n = np.frombuffer(n, f"<u{len(n) // len(ids)}").astype(np.int64)
+        total[ids] += n
+        if kind != _TRIPLES:
+            moves[ids] += np.frombuffer(moved, "<f2").reshape(-1, DIMENSIONS) * n[:, None].astype(float)
+    ids = np.flatnonzero(total)
+    mean = b"" if kind == _TRIPLES else (moves[ids] / total[ids, None]).astype("<f4").tobytes()
+    return pd.DataFrame(
+        {"kind": [kind], "block": [rows["block"].iloc[0]], "ids": [ids.astype("<u2").tobytes()], "n": [total[ids].astype("<i8").tobytes()], "moves": [mean]}
+    )
+
+
+def _ids(rows: pd.DataFrame) -> np.ndarray:
+    """Ids of summed blocks, in their order."""
+    return np.concatenate([np.frombuffer(x, "<u2") + np.int64(b) * BLOCK for b, x in zip(rows["block"], rows["ids"])])
 
 
 def _train(shared):
@@ -328,20 +423,19 @@ def _train(shared):
         counts = np.zeros(UNITS**3, np.int64)
         for batch in batches:
             for _, texts in _batches_of(batch.column(0).to_pylist()):
-                names, row, starts = _numbered(texts)
-                unit_of = np.array([units.of(w) for w in names])
-                leaf_of = np.array([decisions.of(w, u) for w, u in zip(names, unit_of.tolist())])
-                unit, leaf = unit_of[row], leaf_of[row]
+                row, starts = _in_a_row(texts)
+                leaf = np.fromiter(map(decisions.leaves.__getitem__, row), np.int32, len(row))
+                unit = decisions.units[leaf]
                 one, two = contexts(unit, starts)
                 counts += np.bincount((two * UNITS + one) * UNITS + unit, minlength=UNITS**3)
                 learner.learn(leaf, *contexts(leaf, starts))
         found = np.flatnonzero(counts)
-        parts = [(found, counts[found], np.zeros((len(found), DIMENSIONS))), *learner.moved()]
-        for kind, (rows, n, moves) in enumerate(parts):
-            for at in range(0, len(rows), 20_000):
-                part = slice(at, at + 20_000)
-                columns = [np.full(len(rows[part]), kind, np.int32), rows[part], n[part], *moves[part].T.astype(np.float64)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["kind", "id", "n", *_MOVES])
+        parts = [(found, counts[found], None), *learner.moved()]
+        for kind, part in enumerate(parts):
+            rows = list(_blocks(kind, *part))
+            for at in range(0, len(rows), 20):
+                columns = zip(zip(*rows[at : at + 20]), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names=["kind", "block", "ids", "n", "moves"])
 
     return run
 
@@ -410,11 +504,14 @@ class LogBilinear:
 class Model:
     """What scoring needs in a task: bounded tables only."""
 
-    def __init__(
-        self, units: Units, decisions: Decisions, table: np.ndarray, frequent: dict[bytes, int], total: int, distinct: int
-    ):
-        self.units, self.decisions, self.frequent, self.total, self.distinct = units, decisions, frequent, total, distinct
-        self.unit_logs = (table / math.log(10) - np.log10(units.mass)).astype(np.float32)
+    def __init__(self, decisions: Decisions, mass: np.ndarray, table: np.ndarray, frequent: dict[bytes, int], total: int, distinct: int):
+        self.decisions, self.total, self.distinct = decisions, total, distinct
+        self.unit_logs = (table / math.log(10) - np.log10(mass)).astype(np.float32)
+        # of the commonest tokens and the end: place, leaf, count
+        self.number = {w: i for i, w in enumerate(frequent)}
+        self.number.setdefault(END, len(frequent))
+        self.leaf = np.fromiter(map(decisions.leaves.__getitem__, self.number), np.int32, len(self.number))
+        self.count = np.fromiter((frequent.get(w, 0) for w in self.number), np.int64, len(self.number))
 
 
 def fit(spark, counts: DataFrame, training: DataFrame, steps: int = STEPS) -> Model:
@@ -437,20 +534,18 @@ def fit(spark, counts: DataFrame, training: DataFrame, steps: int = STEPS) -> Mo
     )  # at most 65,793 endings of up to two bytes
     units = Units(words, [(bytes(r["ending"]), r["n"], r["kinds"]) for r in endings.collect()])
     decisions = Decisions(units, frequent)
-    done = training.select("t").mapInArrow(
-        _train(spark.sparkContext.broadcast((units, decisions))), f"kind int, id long, n long, {', '.join(f'{v} double' for v in _MOVES)}"
-    )
-    summed = done.groupBy("kind", "id").agg(F.sum("n").alias("n"), *[F.sum(v).cast("float").alias(v) for v in _MOVES])
-    summed = written(summed, "lm-sums")
+    done = training.select("t").mapInArrow(_train(spark.sparkContext.broadcast((units, decisions))), _BLOCKS)
+    summed = written(done.groupBy("kind", "block").applyInPandas(_summed, _BLOCKS), "lm-sums")
     neural = LogBilinear(units.used)
-    found = summed.filter(F.col("kind") == _TRIPLES).select("id", "n").toPandas()  # at most UNITS^3 rows
+    found = summed.filter(F.col("kind") == _TRIPLES).select("block", "ids", "n").toPandas()  # at most UNITS^3 ids
     if len(found):
-        found = found.sort_values("id")
-        neural.train(found["id"].to_numpy(), found["n"].to_numpy(float), steps)
+        found = found.sort_values("block")
+        neural.train(_ids(found), np.frombuffer(b"".join(found["n"]), "<i8").astype(float), steps)
     for kind, values in ((_DECISIONS, decisions.vectors), (_CONTEXTS, decisions.context)):
-        moved = summed.filter(F.col("kind") == kind).toPandas()  # at most 2 FREQUENT rows
-        values[moved["id"]] += moved[_MOVES].to_numpy(np.float32) / moved["n"].to_numpy(np.float32)[:, None]
-    return Model(units, decisions, neural.table(), frequent, int(total), int(distinct))
+        moved = summed.filter(F.col("kind") == kind).select("block", "ids", "moves").toPandas()  # at most 2 FREQUENT ids
+        if len(moved):
+            values[_ids(moved)] += np.frombuffer(b"".join(moved["moves"]), "<f4").reshape(-1, DIMENSIONS)
+    return Model(decisions, units.mass, neural.table(), frequent, int(total), int(distinct))
 
 
 _ROWS = "n_tokens long, n_known long, log_count double, unit_log double, rare array<struct<token:binary,n:long>>"
@@ -459,34 +554,36 @@ _ROWS = "n_tokens long, n_known long, log_count double, unit_log double, rare ar
 def _scorer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        end = model.frequent.get(END)
+        decisions, known = model.decisions, model.count > 0
+        logs = np.log10(model.count + 0.5)
         for batch in batches:
             parts = []
             for _, texts in _batches_of(batch.column(2).to_pylist()):
-                names, row, starts = _numbered(texts)
-                unit_of = np.array([model.units.of(w) for w in names])
-                leaf_of = np.array([model.decisions.of(w, u) for w, u in zip(names, unit_of.tolist())])
-                count_of = np.array([model.frequent.get(w, -1) for w in names])
-                there = count_of >= 0
-                log_of = np.where(there, np.log10(np.maximum(count_of, 0) + 0.5), 0.0)
-                if end is None:
-                    log_of[0] = math.log10(0.5)
-                unit, leaf = unit_of[row], leaf_of[row]
+                row, starts = _in_a_row(texts)
+                place = np.fromiter(map(model.number.get, row, repeat(-1)), np.int32, len(row))
+                left = np.flatnonzero(place < 0)
+                rare = [row[i] for i in left.tolist()]
+                leaf = model.leaf.take(place)
+                leaf[left] = np.fromiter(map(decisions.leaves.__getitem__, rare), np.int32, len(rare))
+                there, log_of = known.take(place), logs.take(place)
+                there[left], log_of[left] = False, 0.0
+                unit = decisions.units[leaf]
                 one, two = contexts(unit, starts)
                 unit_log = np.add.reduceat(model.unit_logs[two, one, unit], starts, dtype=np.float64)
-                unit_log += np.add.reduceat(model.decisions.gains(leaf, *contexts(leaf, starts)), starts) / math.log(10)
+                unit_log += np.add.reduceat(decisions.gains(leaf, *contexts(leaf, starts)), starts) / math.log(10)
                 n = np.diff(np.append(starts, len(row)))
                 # other tokens per text, each with its number there
-                text_of = np.repeat(np.arange(len(texts)), n)
-                left = np.flatnonzero(~there[row] & (row > 0))
-                pairs, often = np.unique(text_of[left] * len(names) + row[left], return_counts=True)
-                ends = np.searchsorted(pairs, np.arange(len(texts) + 1) * len(names))
+                names = list(dict.fromkeys(rare))
+                number = {w: i for i, w in enumerate(names)}
+                named = np.fromiter(map(number.__getitem__, rare), np.int64, len(rare))
+                pairs, often = np.unique(np.repeat(np.arange(len(texts)), n)[left] * max(1, len(names)) + named, return_counts=True)
+                ends = np.searchsorted(pairs, np.arange(len(texts) + 1) * max(1, len(names)))
                 rare = pa.StructArray.from_arrays(
-                    [pa.array(list(map(names.__getitem__, (pairs % len(names)).tolist())), pa.binary()), pa.array(often, pa.int64())], ["token", "n"]
+                    [pa.array([names[i] for i in (pairs % max(1, len(names))).tolist()], pa.binary()), pa.array(often, pa.int64())], ["token", "n"]
                 )
                 parts.append(
-                    [pa.array(n, pa.int64()), pa.array(np.add.reduceat(there[row].astype(np.int64), starts)),
-                     pa.array(np.add.reduceat(log_of[row], starts)), pa.array(unit_log),
+                    [pa.array(n, pa.int64()), pa.array(np.add.reduceat(there.astype(np.int64), starts)),
+                     pa.array(np.add.reduceat(log_of, starts)), pa.array(unit_log),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare)]
                 )
             if parts:

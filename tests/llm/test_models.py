@@ -7,6 +7,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from arrearscope.llm import language, lm_scoring
@@ -200,3 +202,51 @@ def test_scores_of_nothing(make_docs):
     held = next(k for k in range(100) if fold(k, 5) == 1)
     (row,) = lm_scoring.score(make_docs((held, "only held out")), steps=5).collect()
     assert (row["n_known"], row["train_tokens"], row["base_score"]) == (0, 0, 0.0)
+
+
+class Shared:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_sums_of_runs_equal_sums_one_by_one():
+    rng = np.random.default_rng(5)
+    for size, ids in ((1, 1), (50, 3), (5000, 900), (5000, 4000)):
+        at = np.minimum(rng.zipf(1.4, size), ids)
+        values = rng.normal(size=(size, lm_scoring.DIMENSIONS))
+        want = np.zeros((ids + 1, lm_scoring.DIMENSIONS))
+        np.add.at(want, at, values)
+        found, order, starts, n = lm_scoring._runs(at)
+        assert sorted(found) == sorted(set(at.tolist())) and n.tolist() == np.bincount(at)[found].tolist()
+        assert lm_scoring._sums(values[order], starts, n) == pytest.approx(want[found])
+
+
+def test_moves_of_a_task_are_few_rows_of_small_numbers(monkeypatch):
+    units, decisions, _ = some_decisions(monkeypatch)
+    decisions.vectors = decisions.vectors.astype(np.float32)
+    batch = pa.RecordBatch.from_arrays([pa.array([b"king ring the thing cat king odd"] * 20)], names=["t"])
+    rows = pa.Table.from_batches(list(lm_scoring._train(Shared((units, decisions)))(iter([batch])))).to_pylist()
+    moves = [r for r in rows if r["kind"] != lm_scoring._TRIPLES]
+    assert [r["kind"] for r in moves] == [lm_scoring._DECISIONS, lm_scoring._CONTEXTS]  # one block each, not a row an id
+    for r in moves:
+        ids = len(r["ids"]) // 2
+        assert ids > 1 and len(r["moves"]) == 2 * lm_scoring.DIMENSIONS * ids
+        assert sum(len(r[c]) for c in ("ids", "n", "moves")) <= 38 * ids
+
+
+def test_blocks_sum_to_the_mean_by_occurrences():
+    rng, n_ids, d = np.random.default_rng(6), 3 * lm_scoring.BLOCK, lm_scoring.DIMENSIONS
+    total, moved, rows = np.zeros(n_ids), np.zeros((n_ids, d)), []
+    for _ in range(4):
+        ids = np.sort(rng.choice(n_ids, 700, replace=False))
+        n, moves = rng.integers(1, 1 << 33, 700), rng.normal(size=(700, d)).astype(np.float16).astype(np.float32)
+        total[ids] += n
+        moved[ids] += moves * n[:, None].astype(float)
+        rows += lm_scoring._blocks(lm_scoring._CONTEXTS, ids, n, moves)
+    table = pd.DataFrame(rows, columns=["kind", "block", "ids", "n", "moves"])
+    found = pd.concat([lm_scoring._summed(part) for _, part in table.groupby(["kind", "block"])])
+    ids = lm_scoring._ids(found)
+    assert ids.tolist() == np.flatnonzero(total).tolist()
+    assert np.frombuffer(b"".join(found["n"]), "<i8").tolist() == total[ids].tolist()
+    mean = np.frombuffer(b"".join(found["moves"]), "<f4").reshape(-1, d)
+    assert mean == pytest.approx(moved[ids] / total[ids, None], abs=1e-6)
