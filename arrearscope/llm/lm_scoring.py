@@ -39,11 +39,11 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from copy import copy
-from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -159,10 +159,21 @@ def contexts(sequence: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     return one, two
 
 
-def _in_a_row(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """All tokens with ends, and where texts start."""
-    cut = [[*tokens(t), END] for t in texts]
-    return list(chain.from_iterable(cut)), np.cumsum([0, *map(len, cut[:-1])])
+def _in_a_row(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All tokens without ends, their places among tokens with ends, and where texts start there."""
+    # kernels of ASCII do not look at what other bytes mean
+    whole = pc.ascii_lower(pa.array(texts, pa.binary()).view(pa.string()))
+    cut = pc.ascii_split_whitespace(whole)
+    pieces, text_of = cut.flatten(), pc.list_parent_indices(cut).to_numpy()
+    there = pc.binary_length(pieces).to_numpy() > 0  # white space at the ends of a text leaves empty pieces
+    pieces, text_of = pieces.filter(pa.array(there)), text_of[there]
+    lengths = np.bincount(text_of, minlength=len(texts)) + 1
+    return pieces.view(pa.binary()), np.arange(len(text_of)) + text_of, np.cumsum(lengths) - lengths
+
+
+def _found(pieces: pa.Array, names: pa.Array) -> np.ndarray:
+    """Places in ``names``, -1 for what is not there."""
+    return pc.fill_null(pc.index_in(pieces, value_set=names), -1).to_numpy()
 
 
 def _batches_of(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
@@ -228,6 +239,7 @@ class Decisions:
         first = np.arange(UNITS) + np.searchsorted(unit, np.arange(UNITS))
         self.rest = first
         self.leaves = Leaves(units, dict(zip((w for _, w in named), leaf.tolist())), first.tolist())
+        self.names, self.leaf = pa.array(list(self.leaves), pa.binary()), np.fromiter(self.leaves.values(), np.int32)
         mass = np.zeros(UNITS + len(named))
         mass[leaf] = [frequent[w] + 0.5 for _, w in named]
         mass[first] = units.mass - np.bincount(unit, mass[leaf], UNITS)
@@ -274,6 +286,11 @@ class Decisions:
     def of(self, token: bytes, unit: int) -> int:
         return self.leaves.get(token) or int(self.rest[unit])
 
+    def missing(self, pieces: pa.Array) -> np.ndarray:
+        """Leaves of tokens that have none of their own."""
+        kinds = pc.dictionary_encode(pieces)
+        return np.array([self.leaves[w] for w in kinds.dictionary.to_pylist()], np.int32).take(kinds.indices.to_numpy())
+
     def _ways(self, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For every decision on the way to each leaf: place of the leaf, place of the decision."""
         length = self.length[leaf]
@@ -423,8 +440,12 @@ def _train(shared):
         counts = np.zeros(UNITS**3, np.int64)
         for batch in batches:
             for _, texts in _batches_of(batch.column(0).to_pylist()):
-                row, starts = _in_a_row(texts)
-                leaf = np.fromiter(map(decisions.leaves.__getitem__, row), np.int32, len(row))
+                pieces, at, starts = _in_a_row(texts)
+                found = _found(pieces, decisions.names)
+                of_pieces = decisions.leaf.take(found)
+                of_pieces[found < 0] = decisions.missing(pieces.filter(pa.array(found < 0)))
+                leaf = np.full(len(at) + len(texts), decisions.rest[0], np.int32)
+                leaf[at] = of_pieces
                 unit = decisions.units[leaf]
                 one, two = contexts(unit, starts)
                 counts += np.bincount((two * UNITS + one) * UNITS + unit, minlength=UNITS**3)
@@ -508,10 +529,10 @@ class Model:
         self.decisions, self.total, self.distinct = decisions, total, distinct
         self.unit_logs = (table / math.log(10) - np.log10(mass)).astype(np.float32)
         # of the commonest tokens and the end: place, leaf, count
-        self.number = {w: i for i, w in enumerate(frequent)}
-        self.number.setdefault(END, len(frequent))
-        self.leaf = np.fromiter(map(decisions.leaves.__getitem__, self.number), np.int32, len(self.number))
-        self.count = np.fromiter((frequent.get(w, 0) for w in self.number), np.int64, len(self.number))
+        counts = {END: 0} | frequent
+        self.names = pa.array(list(counts), pa.binary())
+        self.leaf = np.fromiter(map(decisions.leaves.__getitem__, counts), np.int32, len(counts))
+        self.count = np.fromiter(counts.values(), np.int64, len(counts))
 
 
 def fit(spark, counts: DataFrame, training: DataFrame, steps: int = STEPS) -> Model:
@@ -559,28 +580,27 @@ def _scorer(shared):
         for batch in batches:
             parts = []
             for _, texts in _batches_of(batch.column(2).to_pylist()):
-                row, starts = _in_a_row(texts)
-                place = np.fromiter(map(model.number.get, row, repeat(-1)), np.int32, len(row))
-                left = np.flatnonzero(place < 0)
-                rare = [row[i] for i in left.tolist()]
+                pieces, at, starts = _in_a_row(texts)
+                found = _found(pieces, model.names)
+                place = np.zeros(len(at) + len(texts), np.int32)  # the end is the first
+                place[at] = found
+                rare = pieces.filter(pa.array(found < 0))
+                left = at[found < 0]
                 leaf = model.leaf.take(place)
-                leaf[left] = np.fromiter(map(decisions.leaves.__getitem__, rare), np.int32, len(rare))
+                leaf[left] = decisions.missing(rare)
                 there, log_of = known.take(place), logs.take(place)
                 there[left], log_of[left] = False, 0.0
                 unit = decisions.units[leaf]
                 one, two = contexts(unit, starts)
                 unit_log = np.add.reduceat(model.unit_logs[two, one, unit], starts, dtype=np.float64)
                 unit_log += np.add.reduceat(decisions.gains(leaf, *contexts(leaf, starts)), starts) / math.log(10)
-                n = np.diff(np.append(starts, len(row)))
+                n = np.diff(np.append(starts, len(place)))
                 # other tokens per text, each with its number there
-                names = list(dict.fromkeys(rare))
-                number = {w: i for i, w in enumerate(names)}
-                named = np.fromiter(map(number.__getitem__, rare), np.int64, len(rare))
-                pairs, often = np.unique(np.repeat(np.arange(len(texts)), n)[left] * max(1, len(names)) + named, return_counts=True)
-                ends = np.searchsorted(pairs, np.arange(len(texts) + 1) * max(1, len(names)))
-                rare = pa.StructArray.from_arrays(
-                    [pa.array([names[i] for i in (pairs % max(1, len(names))).tolist()], pa.binary()), pa.array(often, pa.int64())], ["token", "n"]
-                )
+                kinds = pc.dictionary_encode(rare)
+                size = max(1, len(kinds.dictionary))
+                pairs, often = np.unique(np.repeat(np.arange(len(texts)), n)[left] * size + kinds.indices.to_numpy(), return_counts=True)
+                ends = np.searchsorted(pairs, np.arange(len(texts) + 1) * size)
+                rare = pa.StructArray.from_arrays([kinds.dictionary.take(pa.array(pairs % size)), pa.array(often, pa.int64())], ["token", "n"])
                 parts.append(
                     [pa.array(n, pa.int64()), pa.array(np.add.reduceat(there.astype(np.int64), starts)),
                      pa.array(np.add.reduceat(log_of, starts)), pa.array(unit_log),
