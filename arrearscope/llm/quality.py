@@ -92,7 +92,6 @@ def _repeated_words(words: Column) -> Column:
 def measures(text: Column) -> Column:
     """All measures of a text as one struct; its words and lines are cut once."""
     body = F.coalesce(text, F.lit(""))
-    listed = F.array(*[F.lit(w) for w in STOP_WORDS])
 
     def removed(value: Column, pattern: str) -> Column:
         return F.char_length(value) - F.char_length(F.regexp_replace(value, pattern, ""))
@@ -106,7 +105,7 @@ def measures(text: Column) -> Column:
             "n_lines": F.size(lines),
             "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
             "n_repeat_words": let(words, _repeated_words),
-            "n_stop_words": F.size(F.filter(words, lambda w: F.array_contains(listed, w))),
+            "n_stop_words": F.size(F.filter(words, lambda w: w.isin(*STOP_WORDS))),  # a hash set in the plan
             "n_upper": removed(joined, "[A-Z]"),
         }
         return F.named_struct(*[part for k, v in values.items() for part in (F.lit(k), v.cast("long"))])

@@ -8,7 +8,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from arrearscope.llm import decontamination
+from arrearscope.llm import decontamination, quality
 from arrearscope.session import scratch_path
 from tests.llm.conftest import DOC_SCHEMA, ODD_TEXTS
 
@@ -80,3 +80,11 @@ def test_stages_keep_clashing_columns(spark, make_docs, tmp_path):
         assert kept.columns == docs.columns, name
         assert kept.count() >= 1 and kept.filter(" AND ".join(f"`{n}` = 7" for n in names)).count() == kept.count(), name
     assert decontamination.remove_spans(docs, spark.read.parquet(f"{tmp_path}/benchmark.parquet")).count() == 3
+
+
+def test_stop_words_are_looked_up_in_a_hash_set(make_docs):
+    docs = make_docs("the cat and Der hund la la", "none", None)
+    rows = {r["doc_id"]: r["n_stop_words"] for r in quality.score(docs).collect()}
+    assert rows == {0: 4, 1: 0, 2: 0}
+    plan = docs.select(quality.measures(F.col("text")).alias("m"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "INSET" in plan and "array_contains" not in plan
