@@ -75,6 +75,8 @@ NOISE = 48
 BATCH_CHARS = 2_000_000
 #: Distinct tokens a task counts before it passes counts on.
 COUNTED = 400_000
+#: Counts of batches a task keeps before it adds them up.
+GATHERED = 1_000_000
 _MARKS = b".,!?;:)\"'"
 
 
@@ -88,21 +90,26 @@ def ending(token: bytes) -> bytes:
 
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    parts: list[pa.RecordBatch] = []
+    ends = 0
 
     def passed() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["token", "n"]
-        )
+        """Counts of distinct tokens over all parts."""
+        kinds = pc.dictionary_encode(pa.concat_arrays([p.column(0) for p in parts]))
+        n = np.zeros(len(kinds.dictionary), np.int64)
+        np.add.at(n, kinds.indices.to_numpy(), np.concatenate([p.column(1).to_numpy() for p in parts]))
+        return pa.RecordBatch.from_arrays([kinds.dictionary, pa.array(n)], names=["token", "n"])
 
     for batch in batches:
-        texts = batch.column(0)
-        counts[END] += len(texts)
-        for text in texts:
-            counts.update(tokens(text.as_py() or b""))
-            if len(counts) > COUNTED:
-                yield passed()
-                counts.clear()
+        ends += len(batch.column(0))
+        for _, texts in _batches_of(batch.column(0).to_pylist()):
+            kinds = pc.value_counts(_in_a_row(texts)[0])
+            parts.append(pa.RecordBatch.from_arrays(kinds.flatten(), names=["token", "n"]))
+            if sum(map(len, parts)) > GATHERED:
+                parts = [passed()]
+                if len(parts[0]) > COUNTED:
+                    yield parts.pop()
+    parts.append(pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([ends], pa.int64())], names=["token", "n"]))
     yield passed()
 
 
@@ -176,6 +183,12 @@ def _found(pieces: pa.Array, names: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.index_in(pieces, value_set=names), -1).to_numpy()
 
 
+def _endings(kinds: pa.Array) -> pa.Array:
+    """``ending`` of every token."""
+    kept = pc.ascii_rtrim(kinds.view(pa.string()), characters=_MARKS.decode())
+    return pc.binary_slice(pc.if_else(pc.equal(pc.binary_length(kept), 0), kinds, kept.view(pa.binary())), -2)
+
+
 def _batches_of(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive texts of bounded size together, with the place of the first."""
     at = 0
@@ -240,6 +253,7 @@ class Decisions:
         self.rest = first
         self.leaves = Leaves(units, dict(zip((w for _, w in named), leaf.tolist())), first.tolist())
         self.names, self.leaf = pa.array(list(self.leaves), pa.binary()), np.fromiter(self.leaves.values(), np.int32)
+        self.endings, self.of_endings = pa.array(list(self.leaves.endings), pa.binary()), np.array([*self.leaves.endings.values()], np.int32)
         mass = np.zeros(UNITS + len(named))
         mass[leaf] = [frequent[w] + 0.5 for _, w in named]
         mass[first] = units.mass - np.bincount(unit, mass[leaf], UNITS)
@@ -286,10 +300,17 @@ class Decisions:
     def of(self, token: bytes, unit: int) -> int:
         return self.leaves.get(token) or int(self.rest[unit])
 
-    def missing(self, pieces: pa.Array) -> np.ndarray:
+    def missing(self, kinds: pa.Array) -> np.ndarray:
         """Leaves of tokens that have none of their own."""
-        kinds = pc.dictionary_encode(pieces)
-        return np.array([self.leaves[w] for w in kinds.dictionary.to_pylist()], np.int32).take(kinds.indices.to_numpy())
+        found = _found(_endings(kinds), self.endings)
+        return np.append(self.of_endings, np.int32(self.leaves.last)).take(found)  # the last for what is not there
+
+    def of_all(self, kinds: pa.Array) -> np.ndarray:
+        """Leaves of tokens."""
+        found = _found(kinds, self.names)
+        leaf = self.leaf.take(found)
+        leaf[found < 0] = self.missing(kinds.filter(pa.array(found < 0)))
+        return leaf
 
     def _ways(self, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For every decision on the way to each leaf: place of the leaf, place of the decision."""
@@ -441,11 +462,9 @@ def _train(shared):
         for batch in batches:
             for _, texts in _batches_of(batch.column(0).to_pylist()):
                 pieces, at, starts = _in_a_row(texts)
-                found = _found(pieces, decisions.names)
-                of_pieces = decisions.leaf.take(found)
-                of_pieces[found < 0] = decisions.missing(pieces.filter(pa.array(found < 0)))
+                kinds = pc.dictionary_encode(pieces)
                 leaf = np.full(len(at) + len(texts), decisions.rest[0], np.int32)
-                leaf[at] = of_pieces
+                leaf[at] = decisions.of_all(kinds.dictionary).take(kinds.indices.to_numpy())
                 unit = decisions.units[leaf]
                 one, two = contexts(unit, starts)
                 counts += np.bincount((two * UNITS + one) * UNITS + unit, minlength=UNITS**3)
@@ -581,26 +600,28 @@ def _scorer(shared):
             parts = []
             for _, texts in _batches_of(batch.column(2).to_pylist()):
                 pieces, at, starts = _in_a_row(texts)
-                found = _found(pieces, model.names)
-                place = np.zeros(len(at) + len(texts), np.int32)  # the end is the first
-                place[at] = found
-                rare = pieces.filter(pa.array(found < 0))
-                left = at[found < 0]
-                leaf = model.leaf.take(place)
-                leaf[left] = decisions.missing(rare)
-                there, log_of = known.take(place), logs.take(place)
-                there[left], log_of[left] = False, 0.0
+                # distinct tokens, after them the end
+                kinds = pc.dictionary_encode(pieces)
+                found = np.append(_found(kinds.dictionary, model.names), 0)
+                is_rare = found < 0
+                rare = kinds.dictionary.filter(pa.array(is_rare[:-1]))
+                leaf_of, known_of, log_of = model.leaf.take(found), known.take(found), logs.take(found)
+                leaf_of[is_rare], known_of[is_rare], log_of[is_rare] = decisions.missing(rare), False, 0.0
+                kind = np.full(len(at) + len(texts), len(found) - 1, np.int32)
+                kind[at] = kinds.indices.to_numpy()
+                leaf, there, log_of = leaf_of.take(kind), known_of.take(kind), log_of.take(kind)
+                left = np.flatnonzero(is_rare.take(kind))
                 unit = decisions.units[leaf]
                 one, two = contexts(unit, starts)
                 unit_log = np.add.reduceat(model.unit_logs[two, one, unit], starts, dtype=np.float64)
                 unit_log += np.add.reduceat(decisions.gains(leaf, *contexts(leaf, starts)), starts) / math.log(10)
-                n = np.diff(np.append(starts, len(place)))
+                n = np.diff(np.append(starts, len(kind)))
                 # other tokens per text, each with its number there
-                kinds = pc.dictionary_encode(rare)
-                size = max(1, len(kinds.dictionary))
-                pairs, often = np.unique(np.repeat(np.arange(len(texts)), n)[left] * size + kinds.indices.to_numpy(), return_counts=True)
+                size = max(1, len(rare))
+                number = np.cumsum(is_rare) - 1
+                pairs, often = np.unique(np.repeat(np.arange(len(texts)), n)[left] * size + number.take(kind[left]), return_counts=True)
                 ends = np.searchsorted(pairs, np.arange(len(texts) + 1) * size)
-                rare = pa.StructArray.from_arrays([kinds.dictionary.take(pa.array(pairs % size)), pa.array(often, pa.int64())], ["token", "n"])
+                rare = pa.StructArray.from_arrays([rare.take(pa.array(pairs % size)), pa.array(often, pa.int64())], ["token", "n"])
                 parts.append(
                     [pa.array(n, pa.int64()), pa.array(np.add.reduceat(there.astype(np.int64), starts)),
                      pa.array(np.add.reduceat(log_of, starts)), pa.array(unit_log),

@@ -221,6 +221,31 @@ def test_sums_of_runs_equal_sums_one_by_one():
         assert lm_scoring._sums(values[order], starts, n) == pytest.approx(want[found])
 
 
+def test_tokens_are_counted_and_meet_leaves_batch_by_batch(monkeypatch):
+    texts = [b"The KING, sang: thing!", None, b"", b" ...?! odd\x0bthing\tring.\n", "\xe9ng ng \u00e9.\" n ,".encode(), b"king " * 9, b"\xff\xfe, .\xff", b"the odd king"]
+    want = Counter(w for t in texts for w in [*lm_scoring.tokens(t or b""), lm_scoring.END])
+    kinds = sorted(want)
+    units, decisions, _ = some_decisions(monkeypatch)
+    assert lm_scoring._endings(pa.array(kinds)).to_pylist() == [lm_scoring.ending(w) for w in kinds]
+    leaves = [decisions.leaves[w] for w in kinds]
+    for name in ("tokens", "ending"):  # no call a token
+        monkeypatch.setattr(lm_scoring, name, lambda _: 1 / 0)
+    assert decisions.of_all(pa.array(kinds)).tolist() == leaves
+    batches = [pa.RecordBatch.from_arrays([pa.array(part, pa.binary())], names=["t"]) for part in (texts[:3], texts[3:], [])]
+    monkeypatch.setattr(lm_scoring, "BATCH_CHARS", 20)
+    for gathered, counted in ((1000, 1000), (3, 1000), (3, 4)):
+        monkeypatch.setattr(lm_scoring, "GATHERED", gathered)
+        monkeypatch.setattr(lm_scoring, "COUNTED", counted)
+        rows = [r for b in lm_scoring._count_tokens(iter(batches)) for r in b.to_pylist()]
+        found = Counter()
+        for r in rows:
+            found[r["token"]] += r["n"]
+        assert found == want
+        assert (len(rows) == len(want)) == (counted == 1000)
+    (none,) = lm_scoring._count_tokens(iter([]))
+    assert none.to_pylist() == [{"token": lm_scoring.END, "n": 0}]
+
+
 def test_moves_of_a_task_are_few_rows_of_small_numbers(monkeypatch):
     units, decisions, _ = some_decisions(monkeypatch)
     decisions.vectors = decisions.vectors.astype(np.float32)
