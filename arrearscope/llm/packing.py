@@ -58,8 +58,10 @@ def difference(sizes: list[int], k: int) -> list[list[int]]:
             parts = [*map(add, groups[kept:], others[: alone - 1 if alone else None : -1]), *groups[:kept], *others[:alone]]
         else:
             joined, parts = sums + other, groups + others
-        order = sorted(range(len(joined)), key=joined.__getitem__, reverse=True)
-        sums, groups = [joined[i] for i in order], [parts[i] for i in order]
+        if overlap > 0 or sums[-1] < other[0]:  # else they are in falling order
+            order = sorted(range(len(joined)), key=joined.__getitem__, reverse=True)
+            joined, parts = [joined[i] for i in order], [parts[i] for i in order]
+        sums, groups = joined, parts
         spread = sums[0] - (sums[-1] if len(sums) == k else 0)
         heapq.heappush(heap, (-spread, made, sums, groups))
         made += 1

@@ -123,6 +123,36 @@ def test_a_word_is_encoded_once_whatever_marks_and_line_feeds_stand_by_it(monkey
         assert np.frombuffer(found, encoder.dtype).tolist() == whole_ids(BYTE_TOKENIZER, odd)
 
 
+def test_pieces_are_words_without_what_stands_by_them(monkeypatch):
+    for name in PATHS:
+        encoder, whole = Encoder(PATHS[name]), []
+        plain_ids = encoder._ids
+        monkeypatch.setattr(encoder, "_ids", lambda pieces, plain=plain_ids: whole.extend(pieces) or plain(pieces))
+        texts = ["lor, \tlor\n\nlor!", "", " lor  ", None, " ", "\n lor;", "Öl.\r\nÖl", "  "]
+        assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == [whole_ids(name, t) for t in texts]
+        assert not [x for x in whole if any(map(str.isalpha, x))]
+        words = {x for x in encoder.known if any(map(str.isalpha, x))}
+        assert {x.strip(" ").lower() for x in words} == {"lor", "öl"}  # none with a mark or a line feed
+
+
+def test_texts_of_a_batch_stay_apart():
+    rng = random.Random(8)
+    parts = [" ", "\n", "\t", "\xa0", "a", "Öl", ",", "'s", "7", "\u0301", "世", "\0"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 4))) for _ in range(3000)]
+    for name, encoder in ENCODERS.items():
+        assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == [whole_ids(name, t) for t in texts]
+
+
+def test_sums_stay_in_falling_order():
+    rng = random.Random(9)
+    for _ in range(30):
+        sizes = [rng.randint(1, 256) for _ in range(rng.randint(1, 200))]
+        groups = packing.difference(sizes, rng.randint(1, 60))
+        sums = [sum(sizes[i] for i in g) for g in groups]
+        assert sums == sorted(sums, reverse=True)
+        assert sorted(i for g in groups for i in g) == list(range(len(sizes)))
+
+
 def test_differencing_balances():
     rng = random.Random(5)
     sizes = [rng.randint(1, 256) for _ in range(500)]
